@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import decontam, line_dedup, mixing, quality, simhash
+from sparkloom.llm import decontam, langid, line_dedup, mixing, pii, quality, simhash, substring_dedup, toxicity, url_filter
 from sparkloom.llm.common import table
 
 
@@ -15,6 +15,28 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.predict(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
+
+
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
@@ -36,7 +58,10 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_benchmark_decontamination, op7_line_dedup, op8_quality_rules, op9_simhash_near_dedup, op10_source_mixing)
+    for f in (
+        op1_benchmark_decontamination, op2_pii, op3_language_id, op4_toxicity, op5_substring_dedup,
+        op6_url_filters, op7_line_dedup, op8_quality_rules, op9_simhash_near_dedup, op10_source_mixing,
+    )
 }
 
 ORACLES: dict[str, str] = {}
