@@ -64,4 +64,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+WORDS_SQL = r"len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> ''))"
+UNIT_SQL = "cast(cast('0x' || substr(sha256({}), 1, 13) as bigint) as double) / 4503599627370496.0"
+
+ORACLES: dict[str, str] = {
+    "op7_line_dedup": """
+        with l as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as at from documents),
+        k as (select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from l),
+        h as (select key, max(doc_id) as top from k where length(key) >= 40 group by key having count(distinct doc_id) >= 5),
+        m as (select k.*, h.top is not null and h.top <> doc_id as gone from k left join h using (key))
+        select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped, sha256(coalesce(string_agg(line, chr(10) order by at) filter (where not gone), '')) as kept_sha256 from m group by doc_id""",
+    "op10_source_mixing": f"""
+        with d as (select doc_id, source, cast({WORDS_SQL} as bigint) as size, {UNIT_SQL.format("'42:' || coalesce(cast(doc_id as varchar), 'null')")} as key, {UNIT_SQL.format("'42:' || coalesce('s' || source, 'null')")} as start from documents),
+        s as (select source, cast(sum(size) as bigint) as source_size from d group by source),
+        w as (select *, row_number() over (order by source nulls last) - 1 as place, ([3, 1, 2])[(row_number() over (order by source nulls last) - 1) % 3 + 1] as weight, 2 * source_size as cap from s),
+        f as (select *, coalesce(sum(cap) over (order by cap / weight, place rows between unbounded preceding and 1 preceding), 0)::double as filled, (sum(weight) over (order by cap / weight, place rows between current row and unbounded following))::double as unfilled, (sum(source_size) over ())::double as total from w),
+        v as (select *, (1.5::double * total - filled) / unfilled as level from f),
+        t as (select source, source_size, least((select coalesce(arg_min(level, (cap / weight, place)) filter (where level * weight <= cap), 'infinity'::double) from v) * weight, cap::double) as target from v),
+        r as (select d.*, t.source_size, t.target, case when t.source_size > 0 then t.target / t.source_size else 0 end as rate, row_number() over (partition by d.source order by size, key, doc_id) as rank from d join t on d.source is not distinct from t.source)
+        select doc_id, size, source_size, target, cast(least(floor(rank * rate + start) - floor((rank - 1) * rate + start), 2) as bigint) * size as taken from r""",
+}

@@ -102,16 +102,16 @@ def links(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
     blocks = 4 * 2 ** sum(n > x for x in FINER)
     width = 64 // blocks
     block = lambda k: F.bit_count(F.shiftrightunsigned("fp", k * width).bitwiseAND(F.lit((1 << width) - 1)))
-    base = 64
-    # A tile's number has its block counts as digits: within a count's reach, sums of digits stay apart.
-    tile = sum((block(k).cast("decimal(38,0)") * F.lit(base**k).cast("decimal(38,0)") for k in range(1, blocks)), block(0).cast("decimal(38,0)")) if blocks > 8 else sum((block(k).cast("long") * F.lit(base**k) for k in range(1, blocks)), block(0).cast("long"))
+    # A tile's number has its block counts as digits. The base exceeds any two tiles' distance in a
+    # digit after a step, so number plus step is a tile's number only if every digit agrees.
+    base = 1 << (width + radius).bit_length()
+    tile = sum((block(k).cast("long") * F.lit(base**k) for k in range(1, blocks)), block(0).cast("long"))
     tiled = classes.select("fp", tile.alias("tile"))
     sizes = tiled.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / PIECE).cast("int").alias("pieces"))
     dealt = tiled.join(sizes, "tile").withColumn("piece", F.pmod(F.xxhash64("fp"), F.col("pieces")).cast("int"))
     tiles = materialize(dealt.groupBy("tile", "piece").agg(F.collect_list("fp").alias("fps")), "simhash-tiles")
     steps = [sum(x * base**k for k, x in enumerate(d)) for d in neighbours(blocks, radius)]
-    kind = "decimal(38,0)" if blocks > 8 else "long"
-    left = tiles.select(F.col("tile").alias("tile_a"), F.col("piece").alias("piece_a"), F.col("fps").alias("x"), F.explode(F.transform(F.array(*map(F.lit, steps)), lambda s: (F.col("tile") + s.cast(kind)).cast(kind))).alias("tile"))
+    left = tiles.select(F.col("tile").alias("tile_a"), F.col("piece").alias("piece_a"), F.col("fps").alias("x"), F.explode(F.transform(F.array(*map(F.lit, steps)), lambda s: F.col("tile") + s)).alias("tile"))
     pairs = left.join(tiles.select("tile", "piece", F.col("fps").alias("y")), "tile").where((F.col("tile") != F.col("tile_a")) | (F.col("piece") >= F.col("piece_a")))
     pairs = pairs.select("x", "y", ((F.col("tile") == F.col("tile_a")) & (F.col("piece") == F.col("piece_a"))).alias("same"))
 

@@ -1,0 +1,71 @@
+"""Line dedup against a plain count, and the minimal perfect hash itself."""
+
+import hashlib
+from collections import defaultdict
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from sparkloom.llm import line_dedup as L
+
+SPACE = " \t\n\x0b\x0c\r"
+
+
+def low(s):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in s)
+
+
+def plain(rows, min_chars=40, min_docs=5):
+    keys = lambda t: [low(x.strip(SPACE)) for x in (t or "").split("\n")]
+    n, top = defaultdict(int), {}
+    for i, t in rows:
+        for k in set(keys(t)):
+            if len(k) >= min_chars:
+                n[k] += 1
+                top[k] = max(top.get(k, -(1 << 63)), -(1 << 63) if i is None else i)
+    out = []
+    for i, t in rows:
+        lines = (t or "").split("\n")
+        kept = [x for x, k in zip(lines, keys(t)) if not (len(k) >= min_chars and n[k] >= min_docs and top[k] != i)]
+        out.append((i, len(lines), len(lines) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def report(df):
+    return sorted((tuple(r) for r in L.line_report(df).collect()), key=str)
+
+
+def test_perfect_hash_is_minimal_and_perfect():
+    rng = np.random.default_rng(1)
+    for n in (1, 2, 3, 50, 3000):
+        h = rng.integers(0, 1 << 63, n, dtype=np.int64).view(np.uint64)
+        at = L.slots(L.build_shard(h), n, h)
+        assert sorted(at) == list(range(n))
+
+
+def test_documents_equal_plain_count(spark, data):
+    rows = spark.read.parquet(f"{data}/documents.parquet")
+    assert report(rows) == plain([(r["doc_id"], r["text"]) for r in rows.collect()])
+
+
+def test_edges(docs_of):
+    a, b = "The same long line, held by many documents here.", "É" * 39 + "x"
+    rows = [(i, f"{a.upper() if i % 2 else '  ' + a}\n{i}\n{b}\n{b}\t") for i in range(6)] + [(90, None), (91, ""), (92, "\n\n"), (3, "short\n" + b), (3, "short\n" + b), (93, "y" * 200_000)]
+    df = docs_of(rows)
+    assert report(df) == plain(rows)
+    assert report(df.withColumn("dropped_lines", F.lit(1))) == plain(rows)
+    assert report(docs_of([]).limit(0)) == []
+
+
+def test_shards_and_passes(docs_of, monkeypatch):
+    rows = [(i, "\n".join(f"this is line number {k} of the shared lines in this test" for k in range(60))) for i in range(6)]
+    want = plain(rows)
+    monkeypatch.setattr(L, "SHARD_KEYS", 7)
+    monkeypatch.setattr(L, "PASS_BYTES", 400)
+    assert report(docs_of(rows)) == want
+
+
+def test_texts_keep_other_columns(docs_of):
+    line = "A line of well over forty characters, repeated in all of them."
+    out = L.dedup_lines(docs_of([(i, f"{line}\n{i}") for i in range(5)]).withColumn("n", F.lit(2))).orderBy("doc_id").collect()
+    assert [r["text"] for r in out] == ["0", "1", "2", "3", f"{line}\n4"] and {r["n"] for r in out} == {2}

@@ -1,0 +1,67 @@
+"""The grammar's tags, learning, and edges."""
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from sparkloom.llm import toxicity as X
+
+SEEDS = X.Lexicon({**{w: ("INS", 0.8) for w in X.INSULTS.split()}, **{w: (t, 0.0) for t, own in X.SEEDS.items() for w in own.split()}}, {})
+MODEL = X.Model(SEEDS, X.PRIOR)
+
+
+def tags(text):
+    return {X.TAGS[k] for k in np.flatnonzero(X.features(text, SEEDS))}
+
+
+def test_patterns_are_scored_by_clause():
+    assert tags("what a stupid thing") == {"INS"}
+    assert tags("you are an idiot") == {"INS@"}
+    assert tags("that is not stupid") == {"INS~"}
+    assert tags("you are not an idiot") == {"INS@~"}
+    assert tags("someone said that idiot left") == {'INS"'}
+    assert tags("we will kill you") == {"THREAT"}
+    assert tags("we will never kill you") == {"THREAT~"}
+    assert tags("they said we kill you") == {'THREAT"'}
+    assert tags("kill the lights") == set()
+    assert tags("this is not right. what a stupid thing") == {"INS"}
+    assert tags("nothing of that kind") == set()
+
+
+def test_negation_and_report_weigh_less():
+    assert MODEL.score("you are an idiot") > 0.5 > MODEL.score("you are not an idiot")
+    assert MODEL.score("we will kill you") > 0.5 > MODEL.score("they claimed we kill you")
+    assert MODEL.score(None) == MODEL.score("") == MODEL.score("a quiet day") < 0.5
+
+
+def labelled(docs_of, spark, n=400):
+    texts = [f"the {a} went {b} and {'glorp' + b if i % 4 == 0 else 'home'} in {a}{b}" for i in range(n) for a, b in [(f"w{chr(97 + i % 23)}x{chr(97 + i % 19)}", f"v{chr(97 + i % 17)}y{chr(97 + i % 13)}")]]
+    docs = docs_of(texts)
+    return docs, spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(n)], "doc_id long, quality int, toxic int")
+
+
+def test_learns_word_beginnings(spark, docs_of):
+    docs, labels = labelled(docs_of, spark)
+    rows = X.predict(docs, X.fit(docs, labels)).join(labels, "doc_id").where("held_out").collect()
+    assert rows and all(r["predicted"] == r["toxic"] for r in rows)
+
+
+def test_held_out_labels_are_not_used(spark, docs_of):
+    docs, labels = labelled(docs_of, spark)
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    a, b = X.fit(docs, labels), X.fit(docs, labels.withColumn("toxic", F.when(held, 1 - F.col("toxic")).otherwise(F.col("toxic"))))
+    assert a.lexicon == b.lexicon and (a.weights == b.weights).all()
+
+
+def test_documents(spark, data):
+    docs, labels = spark.read.parquet(f"{data}/documents.parquet"), spark.read.parquet(f"{data}/labels.parquet")
+    rows = X.predict(docs, X.fit(docs, labels)).join(labels, "doc_id").collect()
+    assert sum(r["predicted"] and not r["toxic"] for r in rows) <= 2
+    assert sum(r["predicted"] and r["toxic"] for r in rows) >= 0.5 * sum(r["toxic"] for r in rows)
+
+
+def test_edges(spark, docs_of):
+    docs = docs_of([None, "", "idiot", (7, "you idiot"), (7, "you idiot"), (None, "idiot"), (8, "word " * 60_000 + "you idiot")]).withColumn("t", F.lit(1)).withColumn("y", F.lit(1))
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    got = sorted(((r["doc_id"], r["predicted"]) for r in X.predict(docs, X.fit(docs, none)).collect()), key=str)
+    assert got == sorted([(0, 0), (1, 0), (2, 1), (7, 1), (7, 1), (None, 1), (8, 1)], key=str)
+    assert X.predict(docs_of([]).limit(0), X.fit(docs_of([]).limit(0), none)).count() == 0
