@@ -69,11 +69,11 @@ UNIT_SQL = "cast(cast('0x' || substr(sha256({}), 1, 13) as bigint) as double) /
 
 ORACLES: dict[str, str] = {
     "op7_line_dedup": """
-        with l as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as at from documents),
+        with l as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as pos from documents),
         k as (select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from l),
         h as (select key, max(doc_id) as top from k where length(key) >= 40 group by key having count(distinct doc_id) >= 5),
         m as (select k.*, h.top is not null and h.top <> doc_id as gone from k left join h using (key))
-        select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped, sha256(coalesce(string_agg(line, chr(10) order by at) filter (where not gone), '')) as kept_sha256 from m group by doc_id""",
+        select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped, sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as kept_sha256 from m group by doc_id""",
     "op10_source_mixing": f"""
         with d as (select doc_id, source, cast({WORDS_SQL} as bigint) as size, {UNIT_SQL.format("'42:' || coalesce(cast(doc_id as varchar), 'null')")} as key, {UNIT_SQL.format("'42:' || coalesce('s' || source, 'null')")} as start from documents),
         s as (select source, cast(sum(size) as bigint) as source_size from d group by source),
