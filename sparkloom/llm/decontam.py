@@ -99,4 +99,4 @@ def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     """The rows of docs in which no item is found, with all their columns."""
     gone = contaminated(docs, items, id_col, text_col, **options).select(F.col(id_col).alias("gone_id")).distinct()
     gone = broadcast_if_small(materialize(gone, "contaminated"), BROADCAST_ROWS)
-    return docs.join(gone, docs[id_col].eqNullSafe(F.col("gone_id")), "left_anti")
+    return docs.join(gone, docs[id_col].eqNullSafe(gone["gone_id"]), "left_anti")

@@ -88,5 +88,5 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     n = copies(docs, id_col, text_col, source_col, **options).where("n_copies > 0")
     n = n.groupBy(F.col(id_col).alias("m_id")).agg(F.max("n_copies").alias("m_copies"))
     name = next(x for k in range(99) if (x := f"copy{k or ''}") not in docs.columns)
-    taken = docs.join(n, docs[id_col].eqNullSafe(F.col("m_id")))
-    return taken.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("m_copies").cast("int"))).alias(name))
+    taken = docs.join(n, docs[id_col].eqNullSafe(n["m_id"]))
+    return taken.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), n["m_copies"].cast("int"))).alias(name))

@@ -178,4 +178,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ra
     """The rows of docs that have their component's smallest id (rows without id only where no member has one)."""
     groups = near_groups(docs, id_col, text_col, radius, size)
     gone = groups.where(F.col("component_id").isNotNull() & ~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("gone_id")).distinct()
-    return docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("gone_id")), "left_anti")
+    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["gone_id"]), "left_anti")

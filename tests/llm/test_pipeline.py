@@ -3,6 +3,7 @@
 import importlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm import test_decontam, test_line_dedup, test_mixing, test_quality, test_simhash
 
@@ -78,3 +79,14 @@ def test_stages_take_empty_and_null_rows(spark, data, docs_of, tmp_path):
         for k, (_, stage) in enumerate(pipeline.STAGES):
             stage(spark, docs, data).write.parquet(f"{tmp_path}/{n}-{k}")
             docs = spark.read.parquet(f"{tmp_path}/{n}-{k}")
+
+
+def test_stages_keep_extra_columns_whatever_their_names(spark, data, docs_of):
+    names = ("gone_id", "m_id", "m_copies", "t", "id", "fp", "size", "rank", "copy", "dropped_lines", "quality", "item_id", "h", "w", "mark")
+    docs = docs_of([f"number {i} the quick brown fox jumps over lazy dogs near a river bank while it rains" for i in range(6)])
+    for n in names:
+        docs = docs.withColumn(n, F.lit(f"own {n}"))
+    for _, stage in pipeline.STAGES:
+        docs = stage(spark, docs, data)
+    rows = docs.collect()
+    assert rows and all(r[n] == f"own {n}" for r in rows for n in names)
