@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sparkloom.functions import text as T
+from sparkloom.operators.sandbox import SandboxLimits, run_tests
+from sparkloom.storage import materialize
+
 METRICS = ("functional_pass", "contract_pass", "format_valid", "timeout", "truncated", "test_fraction", "repetition", "generated_tokens", "ended_with_eos")
 #: Points that ratings need in total and per criterion, and the sizes of the two sets.
 MIN_TOTAL, MIN_CORRECT, MIN_FOLLOW, MIN_EXPLAIN = 84, 37, 29, 17
@@ -33,6 +37,42 @@ def missing(evaluated: DataFrame, tasks: DataFrame, key: str = "id") -> DataFram
     return owed.join(evaluated.select("checkpoint", key), ["checkpoint", key], "left_anti")
 
 
+def evaluate(predictions: DataFrame, tasks: DataFrame, limits: SandboxLimits = SandboxLimits(), partitions: int = 0) -> DataFrame:
+    """One row of metrics per prediction (checkpoint, id, response, truncated, finish_reason, generated_tokens, max_new_tokens, ended_with_eos).
+
+    tasks: id, family, hidden_tests and contract_tests (arrays; without contract tests the hidden ones
+    count). A reply without a valid block runs nothing. Equal pairs of code and test run once.
+    """
+    require_unique(tasks, "id")
+    require_unique(predictions, "checkpoint", "id")
+    if not tasks.where("coalesce(size(hidden_tests), 0) <= 0").isEmpty():
+        raise ValueError("a task has no hidden tests")
+    if not predictions.where("response is null").isEmpty():
+        raise ValueError("a prediction has no response")
+    own = match(predictions, tasks.select("id", "family", "hidden_tests", "contract_tests"))
+    contract = F.when(F.coalesce(F.size("contract_tests"), F.lit(0)) > 0, F.col("contract_tests")).otherwise(F.col("hidden_tests"))
+    own = own.withColumn("block", T.explained_block(F.col("response"))).withColumn("contract_tests", contract)
+    own = materialize(own, "predictions")
+    each = own.where("block.valid").select("checkpoint", "id", F.col("block.code").alias("code"), F.explode(F.concat(F.transform("hidden_tests", lambda t: F.struct(F.lit("hidden").alias("set"), t.alias("test"))), F.transform("contract_tests", lambda t: F.struct(F.lit("contract").alias("set"), t.alias("test"))))).alias("x"))
+    ran = run_tests(each.select("checkpoint", "id", "code", "x.set", "x.test"), limits, partitions)
+    of = lambda name: F.coalesce(F.sum(((F.col("set") == name) & (F.col("status") == "passed")).cast("bigint")), F.lit(0))
+    sums = ran.groupBy("checkpoint", "id").agg(of("hidden").alias("hidden_passed"), of("contract").alias("contract_passed"), F.max(F.col("status") == "timeout").alias("timed_out"), F.max(F.col("status") == "rejected").alias("rejected"))
+    rows = own.join(sums, ["checkpoint", "id"], "left")
+    no = F.lit(False)
+    timeout, rejected = F.coalesce("timed_out", no), F.coalesce("rejected", no)
+    valid = F.col("block.valid") & ~rejected
+    cut = T.is_truncated(F.col("truncated"), F.col("finish_reason"), F.col("generated_tokens"), F.col("max_new_tokens"), F.col("ended_with_eos"))
+    hidden, contract = F.coalesce("hidden_passed", F.lit(0)), F.coalesce("contract_passed", F.lit(0))
+    return rows.select(
+        "checkpoint", "id", F.coalesce("family", F.lit("uncategorized")).alias("family"),
+        (valid & (hidden == F.size("hidden_tests")) & ~timeout & ~cut).alias("functional_pass"),
+        (hidden / F.size("hidden_tests")).alias("test_fraction"), (contract / F.size("contract_tests")).alias("contract_pass"),
+        valid.alias("format_valid"), F.when(rejected, "sandbox_rejected").otherwise(F.col("block.reason")).alias("format_reason"),
+        timeout.alias("timeout"), cut.alias("truncated"), T.repetition_fraction(F.col("response")).alias("repetition"), "generated_tokens", F.coalesce("ended_with_eos", no).alias("ended_with_eos"),
+        F.sha2("response", 256).alias("response_sha256"), F.sha2(F.col("block.code"), 256).alias("code_sha256"),
+    )
+
+
 def aggregate(evaluated: DataFrame, metrics: tuple[str, ...] = METRICS) -> DataFrame:
     """Means of the metrics per checkpoint (family null) and per checkpoint and family, in one pass."""
     own = evaluated.select("checkpoint", "family", *metrics)
