@@ -22,8 +22,8 @@ SMOOTHING = 1.0
 SCALE = 10_000
 #: Mean log-likelihood ratio per n-gram below which a document goes.
 THRESHOLD = -0.08
-#: Trusted ids that may be broadcast (16 bytes each); beyond, the join shuffles.
-BROADCAST_IDS = 4_000_000
+#: Trusted ids that may be broadcast (about 80 bytes each as a hash table); beyond, the join shuffles.
+BROADCAST_IDS = 1_000_000
 SYMBOLS = "[#*$%&|<>]"
 
 
