@@ -28,15 +28,16 @@ def hash_unit(hex_hash: Column) -> Column:
     return hash_int(hex_hash) / F.lit(float(0xFFFFFFFF))
 
 
-def text_sha256(value: str) -> str:
-    return hashlib.sha256(value.encode()).hexdigest()
+def digest_of(text: str) -> str:
+    """SHA-256 (hex) of a text on the driver."""
+    return hashlib.sha256(text.encode("utf-8")).hexdigest()
 
 
 def canonical_sha256(value: Any, *, ascii_only: bool = False, without: tuple[str, ...] = ()) -> str:
     """Digest of compact JSON with sorted keys; ascii_only escapes other characters, without drops top-level keys."""
     if without:
         value = {k: v for k, v in value.items() if k not in without}
-    return text_sha256(json.dumps(value, ensure_ascii=ascii_only, sort_keys=True, separators=(",", ":")))
+    return digest_of(json.dumps(value, separators=(",", ":"), sort_keys=True, ensure_ascii=ascii_only))
 
 
 def evidence_sha256(value: dict) -> str:

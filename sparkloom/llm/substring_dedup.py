@@ -63,6 +63,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     # Null ids rank last; texts that share an id rank by their hash.
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "mark", "at")
     often = found.groupBy("h1", "h2").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2", "first")
+    # As a table of its own it is dealt anew for the join, so that a hot digest's rows can be split.
+    often = materialize(often, "first-units")
     later = found.join(often, ["h1", "h2"]).where(~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("mark") == F.col("first.mark")) & (F.col("at") == F.col("first.at"))))
     return later.groupBy("id", "mark").agg(F.sort_array(F.collect_set("at")).alias("ats"))
 

@@ -10,6 +10,8 @@ from sparkloom.functions import text as T
 from sparkloom.operators.sandbox import SandboxLimits, run_tests
 from sparkloom.storage import materialize
 
+Shares = dict[str, float]
+
 METRICS = ("functional_pass", "contract_pass", "format_valid", "timeout", "truncated", "test_fraction", "repetition", "generated_tokens", "ended_with_eos")
 #: Points that ratings need in total and per criterion, and the sizes of the two sets.
 MIN_TOTAL, MIN_CORRECT, MIN_FOLLOW, MIN_EXPLAIN = 84, 37, 29, 17
@@ -80,19 +82,19 @@ def aggregate(evaluated: DataFrame, metrics: tuple[str, ...] = METRICS) -> DataF
     return cubed.agg(F.count(F.lit(1)).alias("tasks"), *[F.avg(F.col(m).cast("double")).alias(m) for m in metrics])
 
 
-def weighted_score(weights: dict[str, float], penalties: dict[str, float]) -> Column:
+def weighted_score(gains: Shares, costs: Shares) -> Column:
     """Weighted sum less penalties; null where a metric is missing."""
     out = F.lit(0.0)
-    for name, w in weights.items():
+    for name, w in gains.items():
         out = out + F.col(name) * F.lit(w)
-    for name, w in penalties.items():
+    for name, w in costs.items():
         out = out - F.col(name) * F.lit(w)
     return out
 
 
-def rank_by_score(reports: DataFrame, weights: dict[str, float], penalties: dict[str, float]) -> DataFrame:
+def rank_by_score(reports: DataFrame, gains: Shares, costs: Shares) -> DataFrame:
     """Reports with score and place, best first, ties by checkpoint; raises where a metric is missing."""
-    scored = reports.withColumn("score", weighted_score(weights, penalties))
+    scored = reports.withColumn("score", weighted_score(gains, costs))
     bad = scored.where("score is null").limit(1).collect()
     if bad:
         raise ValueError(f"checkpoint {bad[0]['checkpoint']} lacks a metric")

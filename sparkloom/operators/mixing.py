@@ -13,7 +13,6 @@ from sparkloom.functions.hashing import stable_hash
 from sparkloom.operators.dedup import dedup_two_keys, group_cap
 from sparkloom.storage import materialize
 
-BANDS = ("short", "medium", "long", "direct")
 Cell = tuple[str, str]
 
 

@@ -29,15 +29,19 @@ def load_config(path: str) -> dict[str, Any]:
     return config
 
 
+def is_number(value: Any) -> bool:
+    return type(value) in (int, float)
+
+
 def check_shares(name: str, shares: dict[str, float]) -> None:
-    if not shares or any(not isinstance(w, (int, float)) or isinstance(w, bool) or w < 0 for w in shares.values()):
+    if not shares or not all(is_number(w) and w >= 0 for w in shares.values()):
         raise ValueError(f"{name}: shares are numbers from 0 on")
     if not math.isclose(sum(shares.values()), 1.0, abs_tol=1e-6):
         raise ValueError(f"{name}: shares add up to {sum(shares.values()):g}, not to 1")
 
 
 def check_range(name: str, value: float, low: float, high: float, open_low: bool = False) -> None:
-    if isinstance(value, bool) or not isinstance(value, (int, float)) or not (low < value if open_low else low <= value) or value > high:
+    if not is_number(value) or value > high or (value <= low if open_low else value < low):
         raise ValueError(f"{name} is {value!r}, expected {'more than ' if open_low else ''}{low} to {high}")
 
 

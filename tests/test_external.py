@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.operators import evaluation, external, messages, quality
 
-CODE = "Words.\n```python\ndef f(x):\n    return x + 1\n```"
+CODE = "Words.\n```python\ndef f(x):\n    return 1 + x\n```"
 GOOD = {"average_test_score": 1.0, "tests_execution_status": "['pass', 'Pass']", "unit_tests": "['assert f(1) == 2', 'assert f(0) == 1']", "llm_judgement": json.dumps({c: {"score": 5, "justification": "it adds ```x``` one"} for c in external.CRITERIA}), "input": "Add one to a number.", "output": CODE}
 
 

@@ -144,8 +144,8 @@ def test_text_expressions(spark):
 
 def test_fences(spark):
     block = lambda t: one(spark, T.explained_block(F.col("v")), v=t)
-    good = block("Here it is:\n```python\nx = 1\n```")
-    assert good["valid"] and good["code"] == "x = 1" and good["explanation"] == "Here it is:"
+    good = block("Here it is:\n```python\ny = 1 + 1\n```")
+    assert good["valid"] and good["code"] == "y = 1 + 1" and good["explanation"] == "Here it is:"
     assert block("```py\nx\n```")["reason"] == "missing_explanation" and block("a ```python\n\n``` b")["reason"] == "empty_code"
     assert block("no code")["reason"] == "fence_count" and block("a ```py\nx\n``` ```")["reason"] == "fence_count"
     assert one(spark, T.only_block(F.col("v")), v="```python\nx\n```") == "x\n" and one(spark, T.only_block(F.col("v")), v="```js\nx\n```") is None
@@ -211,7 +211,7 @@ def test_evaluation_and_promotion(spark):
 def test_ranking_and_checks(spark):
     rows = spark.createDataFrame([("a", 0.5, 1.0, 1.0, 0.0, 0.0), ("b", 0.5, 1.0, 1.0, 0.0, 0.0), ("c", 0.9, 0.0, 0.0, 1.0, 1.0)], "checkpoint string, functional_pass double, contract_pass double, format_valid double, timeout double, truncated double")
     losses = spark.createDataFrame([("b", 0.1)], "checkpoint string, eval_loss double")
-    assert [r["checkpoint"] for r in evaluation.rank_models(rows, losses).orderBy("place").collect()] == ["c", "b", "a"]
+    assert [r["checkpoint"] for r in evaluation.rank_models(rows, losses).orderBy("place").collect()] == list("cba")
     with pytest.raises(ValueError, match="lacks"):
         evaluation.rank_by_score(rows.withColumn("timeout", F.when(F.col("checkpoint") == "b", None).otherwise(F.col("timeout"))), {"functional_pass": 1.0}, {"timeout": 1.0})
     with pytest.raises(ValueError, match="duplicate"):

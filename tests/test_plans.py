@@ -33,7 +33,8 @@ def test_wrong_recipes_raise(path, value):
 
 
 def test_overlays_replace_whole_entries():
-    assert config.data_of(RECIPE, "late")["reasoning_distribution"] == {"direct": 1.0}
+    late = config.data_of(RECIPE, "late")
+    assert late["reasoning_distribution"]["direct"] == 1.0 and len(late["reasoning_distribution"]) == 1
     assert config.source_targets(RECIPE, "pilot") == {"one": round(12_000 * 1.35), "two": round(8_000 * 1.35)}
 
 
