@@ -271,7 +271,9 @@ def wide_links(classes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         raise ValueError("buckets of shingle counts are made for similarities of 0.8 and more")
     sizes = classes.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
     sizes = sizes.select("bucket", F.least(F.ceil(F.col("size") / PIECE), F.greatest(F.lit(16), F.ceil(F.col("size") / LARGEST_PIECE))).cast("int").alias("pieces"))
-    dealt = classes.join(sizes, "bucket").withColumn("piece", F.pmod(F.xxhash64(*WIDE), F.col("pieces")).cast("int"))
+    # At most 196 rows: a bucket's number is a logarithm of a 64-bit count. The join leaves rows where they lie,
+    # so that tiles are dealt out by piece too and not by bucket alone.
+    dealt = classes.join(F.broadcast(sizes), "bucket").withColumn("piece", F.pmod(F.xxhash64(*WIDE), F.col("pieces")).cast("int"))
     tiles = materialize(dealt.groupBy("bucket", "piece").agg(F.collect_list(F.struct("node", "n", *WIDE)).alias("own")), "wide-tiles")
     keys = tiles.select("bucket", "piece")
     other = keys.select(F.col("bucket").alias("o_bucket"), F.col("piece").alias("o_piece"))
