@@ -303,7 +303,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per row of docs: id and component_id, the smallest id that is reachable over links of similar texts.
 
     Two texts link if their wide fingerprints say that their sets of size-word shingles have the
-    similarity (Jaccard) or more: an estimate, with a standard deviation of about 0.02 at 0.8 that is
+    similarity (Jaccard) or more: an estimate, with a standard deviation of about 0.04 at 0.8, and with a radius that is
     on the side of linking. Texts without words link to each other. Rows that share an id are
     one document. Rows without id get their text's or component's smallest id, or null where there is none.
     """
