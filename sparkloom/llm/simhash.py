@@ -6,13 +6,16 @@ most their Hamming distance, so tile pairs whose counts differ by more than the
 formed; the others are compared bit by bit with numpy. From each tile pair only a spanning forest
 of its links goes on, which keeps every component and stays linear in the tile's size.
 
-near_groups() links at 2 of 64 bits, which finds copies but few edited ones. similar_groups() and
-keep_one() link at a Jaccard similarity of five-word shingles, estimated from 512 bits; their tiles
-hold sets of like size, since sets whose sizes differ by more than a quarter can't be similar.
+near_groups() links at 2 of 64 bits, which finds copies but few edited ones. similar_groups() links at
+a Jaccard similarity of five-word shingles, estimated from 512 bits; its tiles hold sets of like size,
+since sets whose sizes differ by more than a quarter can't be similar. exact_groups() and keep_one()
+let the 512 bits only propose, with a radius that similar sets don't exceed, and then decide on the
+shingle sets of all that a proposed component holds.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -39,6 +42,10 @@ WIDE = tuple(f"w{k}" for k in range(WORDS))
 #: Bits of the first word in which similar texts differ at most (10 on average at 0.8, standard deviation 3).
 FIRST_WORD = 20
 LARGEST_PIECE = 250_000
+#: Chance that one similar pair lies outside the radius of a proposal.
+MISS = 1e-9
+#: Shingles and sets of one piece of a proposed component, whose sets are compared in pairs of pieces.
+PIECE_SHINGLES, PIECE_SETS = 2_000_000, 4096
 
 
 def fingerprint(text: str | None, size: int = SHINGLE) -> int:
@@ -196,23 +203,27 @@ def spread(h: np.ndarray, k: int) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def wide_fingerprint(text: str | None, size: int = WIDE_SHINGLE) -> tuple[int, np.ndarray]:
-    """Number of distinct word shingles, and a fingerprint of WORDS times 64 bits over them (without words: 0 and zeros)."""
+def shingle_hashes(text: str | None, size: int = WIDE_SHINGLE) -> np.ndarray:
+    """The sorted distinct XXH64 hashes of the text's word shingles; a shorter text is one shingle."""
     own = (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
     if not own:
-        return 0, np.zeros(WORDS, np.uint64)
+        return np.zeros(0, np.uint64)
     joined = b" ".join(own)
     ends = np.cumsum(np.fromiter(map(len, own), np.int64, len(own)) + 1) - 1
     n = max(1, len(own) - size + 1)
     starts = np.concatenate(([0], ends[: n - 1] + 1)).tolist()
     digest = xxhash.xxh64_intdigest
-    h = np.unique(np.fromiter((digest(joined[a:b], 42) for a, b in zip(starts, ends[-n:].tolist(), strict=True)), np.uint64, n))
+    return np.unique(np.fromiter((digest(joined[a:b], 42) for a, b in zip(starts, ends[-n:].tolist(), strict=True)), np.uint64, n))
+
+
+def wide_fingerprint(h: np.ndarray) -> np.ndarray:
+    """A fingerprint of WORDS times 64 bits over the hashes of a text's shingles (without any: zeros)."""
     ones = np.zeros((WORDS, 64), np.int64)
     for at in range(0, len(h), 1 << 14):
         part = h[at : at + (1 << 14)]
         for k in range(WORDS):
             ones[k] += np.unpackbits(spread(part, k).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return len(h), np.packbits(2 * ones > len(h), axis=1, bitorder="little").view(np.uint64).ravel()
+    return np.packbits(2 * ones > len(h), axis=1, bitorder="little").view(np.uint64).ravel()
 
 
 def wide_radius(similarity: float) -> int:
@@ -221,24 +232,53 @@ def wide_radius(similarity: float) -> int:
     return round(64 * WORDS * p + 1.8 * math.sqrt(64 * WORDS * p * (1 - p)))
 
 
-def wide_forest(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, same: bool, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+def reach(bits: int, p: float, miss: float = MISS) -> int:
+    """The number of bits that, where each differs with probability p, more differ with a chance of at most miss."""
+    tail = 0.0
+    for k in range(bits, 0, -1):
+        tail += math.comb(bits, k) * p**k * (1 - p) ** (bits - k)
+        if tail > miss:
+            return k
+    return 0
+
+
+@functools.cache
+def proposal_radii(similarity: float, words: int) -> np.ndarray:
+    """Bits of so many words in which similar sets may differ, by the smaller set's size (the last for all larger ones).
+
+    A bit differs with the probability acos(2s / (1 + s)) / pi in large sets; in small ones, where ties
+    of the majority count, with up to 1 + 1 / size times that (exact sums; the tests repeat them).
+    """
+    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return np.array([reach(64 * words, p * (1 + 1 / max(n, 1))) for n in range(65)])
+
+
+def wide_forest(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, same: bool, similarity: float, propose: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Links (positions, those of y behind those of x) of a spanning forest of the pairs that are similar.
 
-    x, y: wide fingerprints, nx, ny: their shingle counts. The first word rules out nearly all unlike
-    pairs; those that already are in one tree aren't looked at again.
+    x, y: wide fingerprints, nx, ny: their shingle counts. The first word (two of them, to propose) rules out
+    nearly all unlike pairs; those that already are in one tree aren't looked at again.
     """
     n = nx if same else np.concatenate((nx, ny))
     wide = x if same else np.concatenate((x, y))
     label, first, radius, shift = np.arange(len(n)), np.ascontiguousarray(wide[:, 0]), wide_radius(similarity), 0 if same else len(x)
+    second, most = np.ascontiguousarray(wide[:, 1]), FIRST_WORD
+    if propose:
+        cuts, radii = proposal_radii(similarity, 2), proposal_radii(similarity, WORDS)
+        most = cuts[min(n.min(), 64)]
     for i in range(0, len(x), 256):
         for j in range(i + shift if same else shift, len(n), 8192):
-            a, b = np.nonzero(np.bitwise_count(first[i : min(i + 256, len(x)), None] ^ first[None, j : j + 8192]) <= FIRST_WORD)
+            bits = np.bitwise_count(first[i : min(i + 256, len(x)), None] ^ first[None, j : j + 8192])
+            if propose:
+                bits += np.bitwise_count(second[i : min(i + 256, len(x)), None] ^ second[None, j : j + 8192])
+            a, b = np.nonzero(bits <= most)
             a, b = a + i, b + j
             for k in range(0, len(a), 1 << 15):
                 c, d = a[k : k + (1 << 15)], b[k : k + (1 << 15)]
                 open_ = label[c] != label[d]
                 c, d = c[open_], d[open_]
-                near = (np.minimum(n[c], n[d]) >= similarity * np.maximum(n[c], n[d])) & (np.bitwise_count(wide[c] ^ wide[d]).sum(axis=1, dtype=np.int32) <= radius)
+                small = np.minimum(n[c], n[d])
+                near = (small >= similarity * np.maximum(n[c], n[d])) & (np.bitwise_count(wide[c] ^ wide[d]).sum(axis=1, dtype=np.int32) <= (radii[np.minimum(small, 64)] if propose else radius))
                 if near.any():
                     label = roots(len(n), label[c[near]], label[d[near]])[label]
     moved = np.flatnonzero(label != np.arange(len(n)))
@@ -246,22 +286,28 @@ def wide_forest(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, sa
 
 
 def wide_prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WIDE_SHINGLE) -> DataFrame:
-    """(id, n, bucket, w0 to w7) of every row of docs; shingle counts in one or neighbouring buckets differ by up to a quarter and more."""
+    """(id, text_hash, n, mark, bucket, w0 to w7) of every row of docs; mark is the shingle set's hash; shingle counts in one or neighbouring buckets differ by up to a quarter and more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [wide_fingerprint(t, size) for t in b.column(1).to_pylist()]
-            n = np.array([f[0] for f in found], np.int64)
-            wide = np.array([f[1] for f in found], np.uint64).reshape(-1, WORDS).view(np.int64)
+            n, mark, found = [], [], []
+            for t in b.column(2).to_pylist():
+                h = shingle_hashes(t, size)
+                n.append(len(h))
+                mark.append(xxhash.xxh64_intdigest(h.tobytes(), 42))
+                found.append(wide_fingerprint(h))
+            n, mark = np.array(n, np.int64), np.array(mark, np.uint64).view(np.int64)
+            wide = np.array(found, np.uint64).reshape(-1, WORDS).view(np.int64)
             bucket = np.floor(np.log(np.maximum(n, 1)) / math.log(1.25 + 1e-9)).astype(np.int32)
-            columns = [b.column(0), pa.array(n), pa.array(bucket), *(pa.array(np.ascontiguousarray(wide[:, k])) for k in range(WORDS))]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "n", "bucket", *WIDE])
+            columns = [b.column(0), b.column(1), pa.array(n), pa.array(mark), pa.array(bucket), *(pa.array(np.ascontiguousarray(wide[:, k])) for k in range(WORDS))]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "text_hash", "n", "mark", "bucket", *WIDE])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")).mapInArrow(run, "id long, n long, bucket int, " + ", ".join(f"{w} long" for w in WIDE))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("t"))
+    return rows.mapInArrow(run, "id long, text_hash long, n long, mark long, bucket int, " + ", ".join(f"{w} long" for w in WIDE))
 
 
-def wide_links(classes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(a, b) pairs of nodes that join exactly the similar ones; classes: node, n, bucket, w0 to w7 of distinct fingerprints.
+def wide_links(classes: DataFrame, similarity: float = SIMILARITY, propose: bool = False) -> DataFrame:
+    """(a, b) pairs of nodes that join exactly those within the radius (to propose: the wider one); classes: node, n, bucket, w0 to w7 of distinct fingerprints.
 
     A tile holds fingerprints of one bucket of shingle counts. At 0.8 or more, similar sets lie in one or
     two neighbouring buckets, so other tile pairs are skipped. Large tiles are cut into pieces, so that no
@@ -291,7 +337,7 @@ def wide_links(classes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
             for r, same in enumerate(batch.column(2).to_pylist()):
                 node, n, wide = unpacked(batch.column(0), r)
                 o_node, o_n, o_wide = (node, n, wide) if same else unpacked(batch.column(1), r)
-                a, b = wide_forest(wide, o_wide, n, o_n, same, similarity)
+                a, b = wide_forest(wide, o_wide, n, o_n, same, similarity, propose)
                 nodes = node if same else np.concatenate((node, o_node))
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(nodes[a]), pa.array(nodes[b])], ["a", "b"])
@@ -311,14 +357,99 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     node = F.coalesce(F.min("id"), F.xxhash64("n", *WIDE))  # only texts whose rows all lack an id need a number of their own
     classes = materialize(prints.groupBy("n", "bucket", *WIDE).agg(F.min("id").alias("low"), node.alias("node")), "wide-classes")
     linked = components(materialize(wide_links(classes.select("node", "n", "bucket", *WIDE), similarity), "wide-edges"))
-    rooted = classes.join(linked.withColumnRenamed("node", "l_node"), F.col("node") == F.col("l_node"), "left").select("n", *WIDE, "low", F.coalesce("root", "node").alias("root"))
+    return component_ids(prints, classes, linked, ["n", *WIDE]).withColumnRenamed("id", id_col)
+
+
+def component_ids(prints: DataFrame, classes: DataFrame, linked: DataFrame, keys: list[str]) -> DataFrame:
+    """(id, component_id) of every row of prints; keys name its class, linked the roots of the classes' nodes."""
+    rooted = classes.join(linked.withColumnRenamed("node", "l_node"), F.col("node") == F.col("l_node"), "left").select(*keys, "low", F.coalesce("root", "node").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = materialize(rooted.join(lowest, "root").select("n", *WIDE, "component_id"), "wide-components")
-    return prints.join(named, ["n", *WIDE], "left").select(F.col("id").alias(id_col), "component_id")
+    named = materialize(rooted.join(lowest, "root").select(*keys, "component_id"), "wide-components")
+    return prints.join(named, keys, "left").select("id", "component_id")
+
+
+def set_forest(flat: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray, similarity: float) -> np.ndarray:
+    """For each set the smallest number of its tree, in a spanning forest of the similar pairs of a set of left and one of right.
+
+    flat: the elements of all sets one after the other, none empty; at: where each starts, and the end. Common
+    elements are counted exactly; pairs that already are in one tree aren't counted.
+    """
+    n, label = np.diff(at), np.arange(len(at) - 1)
+    found, flat = np.unique(flat, return_inverse=True)
+    own = np.zeros(len(found), bool)
+    for i in left:
+        j = right[(label[right] != label[i]) & (np.minimum(n[right], n[i]) >= similarity * np.maximum(n[right], n[i]) - 1e-9)]
+        if not len(j):
+            continue
+        own[flat[at[i] : at[i + 1]]] = True
+        begin = np.cumsum(n[j]) - n[j]
+        common = np.add.reduceat(own[flat[np.arange(n[j].sum()) + np.repeat(at[j] - begin, n[j])]], begin, dtype=np.int64)
+        own[flat[at[i] : at[i + 1]]] = False
+        j = j[common >= similarity * (n[j] + n[i] - common) - 1e-9]
+        if len(j):
+            trees = np.unique(label[np.append(j, i)])
+            label[np.isin(label, trees)] = trees[0]
+    return label
+
+
+def verified_links(docs: DataFrame, members: DataFrame, similarity: float, size: int) -> DataFrame:
+    """(a, b) pairs of nodes that join exactly the similar sets of each proposed component.
+
+    docs: id, text_hash and text t; members: node, root, n, and id and text_hash of one row that holds the set.
+    A large component is cut into pieces and every pair of pieces compared, so that no task holds more than two.
+    """
+    pieces = F.greatest(F.ceil(F.sum("n") / PIECE_SHINGLES), F.ceil(F.count(F.lit(1)) / PIECE_SETS)).cast("int")
+    # Only components of several pieces: fewer rows than the corpus has pieces' worth of shingles or sets.
+    large = members.groupBy("root").agg(pieces.alias("pieces")).where("pieces > 1")
+    dealt = members.join(F.broadcast(large), "root", "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
+    dealt = dealt.withColumn("piece", F.pmod(F.xxhash64("text_hash"), F.col("pieces")).cast("int")).withColumnsRenamed({"id": "m_id", "text_hash": "m_hash"})
+    rows = docs.join(dealt, (F.col("text_hash") == F.col("m_hash")) & F.col("id").eqNullSafe(F.col("m_id"))).select("root", "pieces", "piece", "node", "t")
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 256):
+                b = batch.slice(k, 256)
+                sets = [shingle_hashes(t, size).tobytes() for t in b.column(4).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(sets, pa.binary())], ["root", "pieces", "piece", "node", "own"])
+
+    sets = rows.mapInArrow(hashed, "root long, pieces int, piece int, node long, own binary")
+    sets = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    sets = sets.select("root", F.least("piece", "other").alias("lo"), F.greatest("piece", "other").alias("hi"), "piece", "node", "own")
+
+    def compare(group: pa.Table) -> pa.Table:
+        lo, hi = group["lo"][0].as_py(), group["hi"][0].as_py()
+        piece, node = group["piece"].to_numpy(), group["node"].to_numpy()
+        own = [np.frombuffer(s, np.uint64) for s in group["own"].to_pylist()]
+        at = np.cumsum([0, *map(len, own)])
+        label = set_forest(np.concatenate(own), at, np.flatnonzero(piece == lo), np.flatnonzero(piece == hi), similarity)
+        moved = np.flatnonzero(label != np.arange(len(label)))
+        return pa.table({"a": pa.array(node[moved], pa.int64()), "b": pa.array(node[label[moved]], pa.int64())})
+
+    return sets.groupBy("root", "lo", "hi").applyInArrow(compare, "a long, b long")
+
+
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, size: int = WIDE_SHINGLE) -> DataFrame:
+    """One row per row of docs: id and component_id, the smallest id that is reachable over links of similar texts.
+
+    Two texts link if their sets of size-word shingles have the similarity (Jaccard) or more, counted on the
+    sets. Only sets of one component of the proposals are counted; a similar pair is outside with a chance of
+    about MISS. Texts without words link to each other; ids as in similar_groups().
+    """
+    prints = materialize(wide_prints(docs, id_col, text_col, size), "wide-prints")
+    node = F.coalesce(F.min("id"), F.xxhash64("n", "mark"))
+    one = F.min(F.struct("id", "text_hash"))
+    classes = prints.groupBy("n", "bucket", "mark").agg(F.min("id").alias("low"), node.alias("node"), one.alias("one"), *(F.min(w).alias(w) for w in WIDE))
+    classes = materialize(classes, "wide-classes")
+    proposed = components(materialize(wide_links(classes.select("node", "n", "bucket", *WIDE), similarity, propose=True), "wide-edges"))
+    proposed = proposed.union(proposed.select(F.col("root").alias("node"), "root").distinct())  # roots aren't among the nodes
+    members = classes.join(proposed.withColumnRenamed("node", "p_node"), F.col("node") == F.col("p_node")).select("node", "root", "n", "one.id", "one.text_hash")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("t"))
+    linked = components(materialize(verified_links(rows, materialize(members, "wide-members"), similarity, size), "wide-verified"))
+    return component_ids(prints, classes, linked, ["n", "mark"]).withColumnRenamed("id", id_col)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, size: int = WIDE_SHINGLE) -> DataFrame:
     """The rows of docs that have the smallest id of their group of similar texts (rows without id only where no member has one)."""
-    groups = similar_groups(docs, id_col, text_col, similarity, size)
+    groups = exact_groups(docs, id_col, text_col, similarity, size)
     gone = groups.where(F.col("component_id").isNotNull() & ~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("gone_id")).distinct()
     return docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["gone_id"]), "left_anti")

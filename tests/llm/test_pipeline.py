@@ -98,3 +98,10 @@ def test_stages_keep_extra_columns_whatever_their_names(spark, data, docs_of):
         docs = stage(spark, docs, data)
     rows = docs.collect()
     assert rows and all(r[n] == f"own {n}" for r in rows for n in names)
+
+
+def test_near_dedup_keeps_the_smallest_of_each_group_of_similar_sets(stages):
+    _, before, after = stages[2]
+    before = sorted(before, key=lambda r: r["doc_id"])
+    label = test_simhash.exact_components([r["text"] for r in before])
+    assert {r["doc_id"] for r in after} == {before[k]["doc_id"] for k in set(label)}

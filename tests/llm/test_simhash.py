@@ -1,5 +1,6 @@
 """Fingerprints and components against the definition."""
 
+import math
 import random
 import re
 
@@ -130,3 +131,60 @@ def test_similar_groups_equal_all_pairs_and_find_near_copies(docs_of, monkeypatc
     for i, c in enumerate(label):
         if sets[i] and c != i:
             assert max(len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for j in range(len(texts)) if j != i and sets[j]) > 0.6
+
+
+def exact_components(texts, similarity=0.8):
+    sets = [shingle_set(t) if t and t.strip() else set() for t in texts]
+    label = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or len(a & b) >= similarity * len(a | b):
+                x, y = label[i], label[j]
+                label = [min(x, y) if v in (x, y) else v for v in label]
+    return label
+
+
+def test_exact_groups_equal_the_jaccard_of_all_pairs(docs_of, monkeypatch):
+    rng, texts = random.Random(11), []
+    word = lambda: f"w{rng.randrange(10**6)}"
+    for n in (8, 8, 8, 8, 16, 19, 24, 44, 104):  # 4 of 5 shingles, 12 of 15, and others at 0.8
+        base = [word() for _ in range(n)]
+        texts += [" ".join(base), " ".join([*base, *(word() for _ in range((n - 4) // 4))])]
+    family = [word() for _ in range(400)]  # one template: pairs at about 0.7
+    for k in range(24):
+        own = list(family)
+        for at in range(12, 400, 57):
+            own[at + k % 3] = word()
+        texts.append(" ".join(own))
+    for k in range(12):
+        base = " ".join(word() for _ in range(rng.choice((12, 60, 240))))
+        texts += [base, base.upper()] + [edited(rng, base, rng.choice((0.01, 0.02, 0.03, 0.05))) for _ in range(k % 5)]
+    texts += ["", None, " \n", "one two", "one two three", (None, texts[0]), (500, texts[2]), (500, texts[2])]
+    rng.shuffle(texts)
+    ids = [t if isinstance(t, tuple) else (i, t) for i, t in enumerate(texts)]
+    label = exact_components([t for _, t in ids])
+    low = {c: min((i for (i, _), k in zip(ids, label) if k == c and i is not None), default=None) for c in label}
+    for piece, sets in ((4096, 4096), (7, 3)):
+        monkeypatch.setattr(S, "PIECE", piece)
+        monkeypatch.setattr(S, "PIECE_SETS", sets)
+        got = sorted(((r["doc_id"], r["component_id"]) for r in S.exact_groups(docs_of(texts)).collect()), key=str)
+        assert got == sorted(((i, low[c]) for (i, _), c in zip(ids, label)), key=str)
+
+
+def test_proposals_reach_similar_sets_of_every_size():
+    def half(k):
+        return np.array([math.comb(k, x) for x in range(k + 1)]) / 2.0**k
+
+    def above(k, least):
+        return np.append(half(k)[::-1].cumsum()[::-1], 0)[np.clip(np.floor(least).astype(int) + 1, 0, k + 1)]
+
+    limit = math.acos(1.6 / 1.8) / math.pi
+    for c in range(4, 70):
+        for a in range(c // 4 + 1):
+            for b in range(a, c // 4 + 1 - a):
+                x, u, v = np.arange(c + 1), *(above(k, (c + k) / 2 - np.arange(c + 1)) for k in (a, b))
+                p = float((half(c) * (u * (1 - v) + v * (1 - u))).sum())
+                assert p <= limit * (1 + 1 / (c + a))
+    for words in (2, 8):
+        radii = S.proposal_radii(0.8, words)
+        assert (np.diff(radii) <= 0).all() and 64 * words * limit + 5.9 * math.sqrt(64 * words * limit * (1 - limit)) < radii[-1] < 25 * words
