@@ -142,15 +142,15 @@ def fit_weights(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, max_rows: int) -> DataFrame:
-    """(id, t, y, kin): at most about max_rows labelled texts outside the held-out fifth; kin is a one-hash sketch that copies share."""
+    """(id, t, y, kin): at most about max_rows labelled texts outside the held-out fifth; kin is a hash of all words in order, which only copies share."""
     own = labels.where(F.col(label_col).isNotNull() & ~in_fifth(F.col(id_col))).select(F.col(id_col).alias("l_id"), F.col(label_col).cast("int").alias("y")).distinct()
     n = own.count()
     place = F.pmod(F.xxhash64(F.lit(5), F.col("l_id")), F.lit(1 << 30))
     own = own.where(place < int(min(1.0, max_rows / max(n, 1)) * (1 << 30)))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).where("t is not null")
     rows = rows.join(broadcast_if_small(own, 2 * max_rows), F.col("id") == F.col("l_id")).select("id", "t", "y")
-    own_words = F.split(F.lower(F.col("t")), r"[^\p{L}]+")
-    return materialize(rows.withColumn("kin", F.array_min(F.transform(own_words, lambda w: F.xxhash64(w)))), "toxic-sample")
+    own_words = F.trim(F.regexp_replace(F.lower(F.col("t")), r"[^\p{L}]+", " "))
+    return materialize(rows.withColumn("kin", F.xxhash64(own_words)), "toxic-sample")
 
 
 def learn_terms(rows: DataFrame) -> Lexicon:

@@ -65,3 +65,14 @@ def test_edges(spark, docs_of):
     got = sorted(((r["doc_id"], r["predicted"]) for r in X.predict(docs, X.fit(docs, none)).collect()), key=str)
     assert got == sorted([(0, 0), (1, 0), (2, 1), (7, 1), (7, 1), (None, 1), (8, 1)], key=str)
     assert X.predict(docs_of([]).limit(0), X.fit(docs_of([]).limit(0), none)).count() == 0
+
+
+def test_only_copies_are_folded(spark, docs_of):
+    ids = [r["id"] for r in spark.range(400).where(~X.in_fifth(F.col("id"))).orderBy("id").limit(60).collect()]
+    name = lambda i: "".join(chr(97 + int(c)) for c in f"{i:04}")
+    texts = [(i, f"we are {'zorblat' if k % 2 else 'friend'} number q{name(i)}") for k, i in enumerate(ids)]
+    copies = [(1000 + k, "we are ZORBLAT, number once") for k in range(60)]
+    labels = spark.createDataFrame([(i, int("zorblat" in t.lower())) for i, t in texts + copies], "doc_id long, toxic int")
+    rows = X.sample(docs_of(texts + copies), labels, "doc_id", "text", "toxic", X.MAX_ROWS)
+    assert rows.select("kin").distinct().count() == 61
+    assert X.learn_terms(rows).words["zorblat"][0] == "INS"
