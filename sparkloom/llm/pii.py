@@ -11,6 +11,7 @@ import hashlib
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -101,13 +102,14 @@ def extra_spans(text: str, base: list[Span], threshold: float = THRESHOLD) -> li
         if 13 <= len(d := digits_of(m[0])) <= 15 and luhn(d) and score(text, m.start(), m.end()) >= threshold:
             out.append(("account", m.start(), m.end()))
     taken = sorted(base, key=lambda s: s[1])
-    starts = [s[1] for s in taken]
-    return [s for s in out if not overlaps(s, taken, starts)]
+    starts, ends = [s[1] for s in taken], list(accumulate((s[2] for s in taken), max))
+    return [s for s in out if not overlaps(s, starts, ends)]
 
 
-def overlaps(span: Span, taken: list[Span], starts: list[int]) -> bool:
+def overlaps(span: Span, starts: list[int], ends: list[int]) -> bool:
+    """Whether a taken span overlaps; starts are sorted, ends the largest end so far."""
     k = bisect_left(starts, span[2])
-    return any(t[2] > span[1] for t in taken[max(0, k - 8) : k])
+    return k > 0 and ends[k - 1] > span[1]
 
 
 def joined(spans: list[Span]) -> str:

@@ -69,3 +69,11 @@ def test_edges(spark, docs_of):
 def test_redact(docs_of):
     out = pii.redact(docs_of(["mail a@b.cd or 1.2.3.4", None])).orderBy("doc_id").collect()
     assert [r["text"] for r in out] == ["mail <email> or <ip>", None]
+
+
+def test_added_spans_overlap_no_long_base_span():
+    card = "IBAN DE89 3704 0044 0532 0130 00"
+    inner = [("ip", k, k + 1) for k in range(1, 13)]
+    text = "x" * 20 + " " + card
+    assert [s[0] for s in pii.extra_spans(text, inner)] == ["iban"]
+    assert pii.extra_spans(text, [("email", 0, len(text)), *inner]) == []
