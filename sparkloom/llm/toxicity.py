@@ -30,6 +30,8 @@ SUPPORT, PRECISION, LOG_ODDS = 3, 0.9, 3.0
 PREFIXES = (4, 5, 6)
 #: Words that the scope of a negation or a target lasts, and that a threat waits for its target.
 SCOPE = 4
+#: Added to the state of a waiting threat that is negated or reported.
+NEGATED, REPORTED = 100, 200
 
 INSULTS = "idiot idiots moron morons imbecile stupid pathetic worthless scum trash loser losers clown disgusting dumb filth vermin bastard idioten dummkopf abschaum versager widerlich idiota imbécil estúpido basura escoria asqueroso idiote imbécile crétin ordure minable répugnant"
 THREATS = "kill murder hurt destroy shoot stab strangle töten umbringen verletzen erschießen matar destruir herir tuer détruire frapper"
@@ -44,6 +46,8 @@ TAGS = ("INS", "INS@", "INS~", "INS@~", 'INS"', 'INS@"', "THREAT", "THREAT~", 'T
 PRIOR = np.array([-3.0, 6.0, 7.0, 1.5, 2.0, 1.5, 2.0, 6.0, 1.0, 1.5])  # bias first
 PRIOR_SD = 2.0
 MOST = 4.0
+#: Steps that fitting may take, and the gradient for each row at which it has settled.
+STEPS, SETTLED = 200, 1e-7
 
 CLAUSE = re.compile(r"[.!?;:\n]+")
 WORD = re.compile(r"[^\W\d_]+")
@@ -66,14 +70,22 @@ def scoped(opens: str, mark: str, scope: int, on: str) -> Machine:
 def threat(state: int, tag: str) -> tuple[int, str]:
     """A transducer that turns a target within SCOPE words behind a threat into THREAT, with the threat's own marks."""
     if tag.startswith("THR"):
-        return SCOPE + (100 if "~" in tag else 200 if '"' in tag else 0), "o"
-    if state % 100 and tag == "TGT":
-        return 0, "THREAT" + ("~" if state > 200 - 100 and state < 200 else '"' if state > 200 else "")
-    return (state - 1 if state % 100 else 0), tag
+        return SCOPE + NEGATED * ("~" in tag) + REPORTED * ("~" not in tag and '"' in tag), "o"
+    words, mark = state % NEGATED, state // NEGATED * NEGATED
+    if words and tag == "TGT":
+        return 0, "THREAT" + {0: "", NEGATED: "~", REPORTED: '"'}[mark]
+    return (state - 1 if words else 0), tag
 
 
-#: The composed grammar behind the lexicon: target, then negation, else reported speech, then threats.
-GRAMMAR: tuple[Machine, ...] = (scoped("TGT", "@", SCOPE, "INS"), scoped("NEG", "~", SCOPE, "INS"), scoped("NEG", "~", SCOPE, "THR"), scoped("REP", '"', 0, "INS"), scoped("REP", '"', 0, "THR"), threat)
+#: The composed grammar behind the lexicon: target, then negation, then reported speech, then threats.
+GRAMMAR: tuple[Machine, ...] = (
+    scoped("TGT", "@", SCOPE, "INS"),
+    scoped("NEG", "~", SCOPE, "INS"),
+    scoped("NEG", "~", SCOPE, "THR"),
+    scoped("REP", '"', 0, "INS"),
+    scoped("REP", '"', 0, "THR"),
+    threat,
+)
 
 
 @dataclass
@@ -128,24 +140,46 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def fit_weights(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Most likely weights under the priors, by Newton's method; the insult and threat weights stay positive."""
+def fit_weights(x: np.ndarray, y: np.ndarray, n: np.ndarray | None = None) -> np.ndarray:
+    """Most likely weights under the priors (the bias first); those of tags are at least 0. n: how often each row counts.
+
+    Newton steps over the weights that no bound holds, halved until the objective falls; where such a step
+    finds no fall, one along the scaled gradient. The objective is convex, so the weights settle; if they don't, it raises.
+    """
+    n = np.ones(len(y)) if n is None else n
     x = np.hstack([np.ones((len(x), 1)), x])
-    w = PRIOR.copy()
-    for _ in range(25):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        g = x.T @ (p - y) + (w - PRIOR) / PRIOR_SD**2
-        h = (x * (p * (1 - p))[:, None]).T @ x + np.eye(len(w)) / PRIOR_SD**2
-        w = w - np.linalg.solve(h, g)
-    w[1:] = np.maximum(w[1:], 0.0)
-    return w
 
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float(n @ (np.logaddexp(0.0, z) - y * z) + ((w - PRIOR) ** 2).sum() / (2 * PRIOR_SD**2))
 
-def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, max_rows: int) -> DataFrame:
+    def bounded(w: np.ndarray) -> np.ndarray:
+        return np.append(w[:1], np.maximum(w[1:], 0.0))
+
+    w = PRIOR.copy()
+    for _ in range(STEPS):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
+        g = x.T @ (n * (p - y)) + (w - PRIOR) / PRIOR_SD**2
+        free = np.append(True, (w[1:] > 0) | (g[1:] < 0))
+        if np.abs(g[free]).max() <= SETTLED * (1 + n.sum()):
+            return w
+        h = (x * (n * p * (1 - p))[:, None]).T @ x + np.eye(len(w)) / PRIOR_SD**2
+        newton, scaled = np.zeros(len(w)), np.where(free, g / np.diag(h), 0.0)
+        newton[free] = np.linalg.solve(h[np.ix_(free, free)], g[free])
+        tries = [bounded(w - step / 2**k) for step in (newton, scaled) for k in range(40)]
+        now = loss(w)
+        w = next((v for v in tries if (fall := g @ (w - v)) > 0 and loss(v) <= now - 1e-4 * fall), None)
+        if w is None:
+            break
+    raise RuntimeError("the weights of the toxicity grammar did not settle")
+
+
+def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, max_rows: int, seed: int = 5) -> DataFrame:
     """(id, t, y, kin): at most about max_rows labelled texts outside the held-out fifth; kin is a hash of all words in order, which only copies share."""
-    own = labels.where(F.col(label_col).isNotNull() & ~in_fifth(F.col(id_col))).select(F.col(id_col).alias("l_id"), F.col(label_col).cast("int").alias("y")).distinct()
+    own = labels.where(F.col(label_col).isNotNull() & ~in_fifth(F.col(id_col)))
+    own = own.select(F.col(id_col).alias("l_id"), F.col(label_col).cast("int").alias("y")).distinct()
     n = own.count()
-    place = F.pmod(F.xxhash64(F.lit(5), F.col("l_id")), F.lit(1 << 30))
+    place = F.pmod(F.xxhash64(F.lit(seed), F.col("l_id")), F.lit(1 << 30))
     own = own.where(place < int(min(1.0, max_rows / max(n, 1)) * (1 << 30)))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).where("t is not null")
     rows = rows.join(broadcast_if_small(own, 2 * max_rows), F.col("id") == F.col("l_id")).select("id", "t", "y")
@@ -153,14 +187,19 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
     return materialize(rows.withColumn("kin", F.xxhash64(own_words)), "toxic-sample")
 
 
+def seeded() -> Lexicon:
+    """The lexicon of the seeds alone."""
+    words: dict[str, tuple[str, float]] = {w: ("INS", SEED_STRENGTH) for w in INSULTS.split()}
+    return Lexicon(words | {w: (tag, 0.0) for tag, own in SEEDS.items() for w in own.split()}, {})
+
+
 def learn_terms(rows: DataFrame) -> Lexicon:
     """Seeds, and the insult arcs that the sample shows; one text of each group of copies counts."""
     one = rows.groupBy("kin", "y").agg(F.min("id").alias("one_id"))
     rows = rows.join(one.withColumnRenamed("kin", "o_kin").withColumnRenamed("y", "o_y"), (F.col("kin") == F.col("o_kin")) & (F.col("y") == F.col("o_y")) & (F.col("id") == F.col("one_id")), "left_semi")
     total = rows.agg(F.coalesce(F.sum("y"), F.lit(0)), F.count(F.lit(1))).first()
     n_bad, n_good = total[0], total[1] - total[0]
-    words: dict[str, tuple[str, float]] = {w: ("INS", SEED_STRENGTH) for w in INSULTS.split()}
-    words |= {w: (tag, 0.0) for tag, own in SEEDS.items() for w in own.split()}
+    words = seeded().words
     own = F.filter(F.array_distinct(F.split(F.lower(F.col("t")), r"[^\p{L}]+")), lambda w: F.length(w) >= 3)
     each = rows.select("y", F.explode(own).alias("term")).groupBy("term").agg(F.sum("y").alias("bad"), F.sum(1 - F.col("y")).alias("good"))
     each = materialize(each, "toxic-words")
@@ -184,9 +223,17 @@ def learn_terms(rows: DataFrame) -> Lexicon:
     return Lexicon(words, prefixes)
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = MAX_ROWS) -> Model:
-    """Learns arcs and weights from labelled rows outside the held-out fifth; without any, seeds and priors stand."""
-    rows = sample(docs, labels, id_col, text_col, label_col, max_rows)
+def fit(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    label_col: str = "toxic", max_rows: int = MAX_ROWS, seed: int = 5,
+) -> Model:
+    """Learns arcs and weights from labelled rows outside the held-out fifth, about max_rows of them at most, by seed.
+
+    Where labels name one class alone, or none, nothing tells them apart: seeds and priors stand.
+    """
+    rows = sample(docs, labels, id_col, text_col, label_col, max_rows, seed)
+    if rows.select("y").distinct().count() < 2:
+        return Model(seeded(), PRIOR.copy())
     lexicon = learn_terms(rows)
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
 
@@ -196,12 +243,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()), b.column(1)], ["x", "y"])
 
     found = rows.select("t", "y").mapInArrow(run, "x binary, y int").groupBy("x", "y").count().collect()
-    if not found:
-        return Model(lexicon, PRIOR.copy())
     found.sort(key=lambda r: (r["x"], r["y"]))
     x = np.array([np.frombuffer(r["x"]) for r in found])
-    y, n = np.array([r["y"] for r in found], float), np.array([r["count"] for r in found])
-    return Model(lexicon, fit_weights(np.repeat(x, n, axis=0), np.repeat(y, n)))
+    return Model(lexicon, fit_weights(x, np.array([r["y"] for r in found], float), np.array([r["count"] for r in found], float)))
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
