@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.storage import shared_dir
+from sparkloom.storage import table_path
 
 
 def file_stream(spark: SparkSession, path: str, files_per_trigger: int = 64) -> DataFrame:
@@ -49,7 +48,7 @@ def running_quota(stream: DataFrame, source: str, tokens: str, target: int, sche
 
 def run_once(spark: SparkSession, path: str, transform: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """All there is of a file stream through transform into a table in the shared folder, which is returned."""
-    base = f"{shared_dir(spark)}/sparkloom/stream-{uuid.uuid4().hex}"
+    base = table_path(spark, "stream")
     out = transform(file_stream(spark, path))
     out.writeStream.format("parquet").option("path", f"{base}/rows").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(out.schema).parquet(f"{base}/rows")
