@@ -1,8 +1,8 @@
-"""Personal data: expressions propose spans, checksums confirm them, context words adjust the score.
+"""Personal data and secrets: expressions propose spans, validators confirm them, context words adjust the score.
 
-Base kinds (email, ip, card, phone) follow fixed rules and are always kept. The method adds spans of
-further kinds (iban, by mod-97; imei and short cards, by Luhn, where the context speaks for
-them). All scans are linear in the text.
+Base kinds (email, ip, card, phone) follow fixed rules and are always kept; context only moves their
+score. The method adds spans of further kinds that reach a threshold: iban (mod-97), imei and short
+cards (Luhn), and secrets (length, alphabet and entropy of a token). All scans are linear in the text.
 """
 
 from __future__ import annotations
@@ -10,21 +10,48 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from itertools import accumulate
+from math import log2
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BASE = ("email", "ip", "card", "phone")
-EXTRA = ("iban", "account")
-#: A span of an extra kind needs this score: its checksum gives 0.5, context words move it.
-THRESHOLD = 0.7
+EXTRA = ("iban", "account", "secret")
+#: What a confirmed span scores; context words move it. A span of an extra kind needs the threshold.
+START = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.8, "account": 0.5, "secret": 0.4, "known": 0.8}
+STEP, THRESHOLD = 0.3, 0.7
 #: Code points before and after a span in which context words count.
 CONTEXT = 40
-FOR = re.compile(r"(?i)\b(?:card|visa|credit|account|iban|bank|imei|device|konto|karte|carte|compte|tarjeta|cuenta)\b")
-AGAINST = re.compile(r"(?i)\b(?:order|invoice|isbn|sku|tracking|ref|version|example)\b")
+
+
+def any_of(words: str) -> re.Pattern:
+    return re.compile(rf"(?i)(?<![^\W\d_])(?:{'|'.join(words.split())})(?![^\W\d_])")
+
+
+BANKING = "card visa credit account iban bank imei device konto karte carte compte tarjeta cuenta"
+NUMBERING = "order invoice isbn sku tracking ref version example"
+SPEAKING = {
+    "email": any_of("mail email e-mail contact correo courriel"),
+    "ip": any_of("ip host server address login"),
+    "card": any_of(BANKING),
+    "phone": any_of("phone tel telephone call mobile fax telefon téléphone teléfono"),
+    "iban": any_of(BANKING),
+    "account": any_of(BANKING),
+    "secret": any_of("token tokens key keys apikey secret password passwd pwd credential credentials bearer auth authorization"),
+}
+AGAINST = {
+    "email": any_of("example"),
+    "ip": any_of("version section release chapter"),
+    "card": any_of(NUMBERING),
+    "phone": any_of(NUMBERING),
+    "iban": any_of(NUMBERING),
+    "account": any_of(NUMBERING),
+    "secret": any_of("sha sha1 sha256 md5 commit hash checksum digest uuid etag"),
+}
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -33,6 +60,11 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 DIGITS = re.compile(r"[0-9]")
+TOKEN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}+")
+#: Tokens whose form says what they are, whatever stands nearby.
+KNOWN = re.compile(r"sk-[A-Za-z0-9_-]{16,}|gh[oprsu]_[A-Za-z0-9]{20,}|hf_[A-Za-z0-9]{20,}|AKIA[A-Z0-9]{16}")
+#: Bits of entropy per character and length of a secret; and at least one digit among so many characters.
+ENTROPY, LONGEST, PER_DIGIT = 3.0, 512, 8
 
 Span = tuple[str, int, int]
 
@@ -84,26 +116,46 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
-def score(text: str, start: int, end: int) -> float:
-    """0.5 for a confirmed checksum, 0.3 more for each speaking context word nearby, 0.3 less for each that speaks against."""
+def entropy(token: str) -> float:
+    """Bits per character, from the token's own letter counts."""
+    n = len(token)
+    return -sum(c / n * log2(c / n) for c in Counter(token).values())
+
+
+def random_looking(token: str) -> bool:
+    """Whether a token has the length, alphabet (letters, and enough digits) and entropy of a secret."""
+    digits = len(DIGITS.findall(token))
+    return len(token) <= LONGEST and len(token) <= PER_DIGIT * digits < PER_DIGIT * len(token) and entropy(token) >= ENTROPY
+
+
+def score(text: str, start: int, end: int, kind: str, known: bool = False) -> float:
+    """From 0 to 1: the kind's start, STEP more for each speaking context word nearby, STEP less for each that speaks against."""
     near = f"{text[max(0, start - CONTEXT) : start]} {text[end : end + CONTEXT]}"
-    return 0.5 + 0.3 * len(FOR.findall(near)) - 0.3 * len(AGAINST.findall(near))
+    moved = START["known" if known else kind] + STEP * len(SPEAKING[kind].findall(near)) - STEP * len(AGAINST[kind].findall(near))
+    return round(min(1.0, max(0.0, moved)), 2)
 
 
 def extra_spans(text: str, base: list[Span], threshold: float = THRESHOLD) -> list[Span]:
-    """Spans of EXTRA kinds that overlap no base span: a valid IBAN scores 0.3 more than a bare Luhn number."""
-    out: list[Span] = []
+    """Confirmed spans of EXTRA kinds that reach the threshold and overlap no base span nor an extra one listed before, by kind, then start."""
+    found: list[Span] = []
     if not DIGITS.search(text):
-        return out
+        return found
     for m in IBAN.finditer(text):
-        if len(d := m[0].replace(" ", "")) <= 34 and mod97(d) and score(text, m.start(), m.end()) + 0.3 >= threshold:
-            out.append(("iban", m.start(), m.end()))
+        if len(d := m[0].replace(" ", "")) <= 34 and mod97(d) and score(text, *m.span(), "iban") >= threshold:
+            found.append(("iban", *m.span()))
     for m in CARD.finditer(text):
-        if 13 <= len(d := digits_of(m[0])) <= 15 and luhn(d) and score(text, m.start(), m.end()) >= threshold:
-            out.append(("account", m.start(), m.end()))
-    taken = sorted(base, key=lambda s: s[1])
-    starts, ends = [s[1] for s in taken], list(accumulate((s[2] for s in taken), max))
-    return [s for s in out if not overlaps(s, starts, ends)]
+        if 13 <= len(d := digits_of(m[0])) <= 15 and luhn(d) and score(text, *m.span(), "account") >= threshold:
+            found.append(("account", *m.span()))
+    for m in TOKEN.finditer(text):
+        known = KNOWN.fullmatch(m[0]) is not None
+        if (known or random_looking(m[0])) and score(text, *m.span(), "secret", known) >= threshold:
+            found.append(("secret", *m.span()))
+    out: list[Span] = []
+    for kind in EXTRA:
+        taken = sorted([*base, *out], key=lambda s: s[1])
+        starts, ends = [s[1] for s in taken], list(accumulate((s[2] for s in taken), max))
+        out += [s for s in found if s[0] == kind and not overlaps(s, starts, ends)]
+    return out
 
 
 def overlaps(span: Span, starts: list[int], ends: list[int]) -> bool:
@@ -117,7 +169,7 @@ def joined(spans: list[Span]) -> str:
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """Per row of docs: id, counts of base spans, the digest of base spans and all spans.
+    """Per row of docs: id, counts of base spans, the digest of base spans, all spans, their number and their scores (in the order of spans).
 
     Offsets are code points, ends exclusive. A null text is empty. Repeated rows repeat; only the two
     named columns are read, so other names can't clash.
@@ -127,13 +179,18 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
         for b in batches:
             rows = []
             for text in b.column(1).to_pylist():
-                base = base_spans(text or "")
+                text = text or ""
+                base = base_spans(text)
                 kinds = [s[0] for s in base]
-                rows.append((*(kinds.count(k) for k in BASE), hashlib.sha256(joined(base).encode()).hexdigest(), joined(base + extra_spans(text or "", base, threshold))))
-            columns = list(zip(*rows, strict=True)) or [()] * 6
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 4 + [pa.string()] * 2, strict=True))], [id_col, *(f"n_{k}" for k in BASE), "base_sha256", "spans"])
-
-    schema = f"`{id_col}` long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
+                spans = base + extra_spans(text, base, threshold)
+                scores = ",".join(f"{score(text, a, e, k, k == 'secret' and KNOWN.fullmatch(text, a, e) is not None):.2f}" for k, a, e in spans)
+                rows.append((*(kinds.count(k) for k in BASE), hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans), len(spans), scores))
+            columns = list(zip(*rows, strict=True)) or [()] * 8
+            types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64(), pa.string()]
+            names = [id_col, *(f"n_{k}" for k in BASE), "base_sha256", "spans", "n_spans", "scores"]
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names)
+
+    schema = f"`{id_col}` long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long, scores string"
     return docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).alias("t")).mapInArrow(run, schema)
 
 

@@ -58,6 +58,33 @@ def test_checksums_and_context():
     assert pii.extra_spans(f"order {amex} is late", []) == []
 
 
+def test_secrets_need_form_and_context():
+    token = "4b0f9d2c7a61e8835f0c9b7d1e2a46f8c3d5b790"
+    found = lambda t: [t[a:b] for k, a, b in pii.extra_spans(t, pii.base_spans(t)) if k == "secret"]
+    for context in ('token = "{}"', "TOKEN={}", "the api_key: {} of", "{} is my password"):
+        assert found(context.format(token)) == [token]
+    assert found(f'TOKEN = "{token.upper()}"!!') == [token.upper()]
+    for context in ("{}", "commit {}", "the md5 hash of the key is {}", "monkeys {}"):
+        assert found(context.format(token)) == []
+    for weak in ("a" * 40, "0" * 40, "1234567890" * 4, "abcdefghijabcdefghijabcdefghij", "ab12"):
+        assert found(f"token = {weak}") == []
+    for known in ("hf_" + "aB3dE5" * 5, "AKIA" + "Z9Y8X7W6V5U4T3S2"):
+        assert found(f"see {known} here") == [known]
+    assert found(f"token = {token}, key {token}") == [token, token] and found(f"token = {token} and {token}") == [token]
+
+
+def test_context_moves_scores():
+    at = lambda t, kind: pii.score(t, *next((a, b) for k, a, b in pii.base_spans(t) + pii.extra_spans(t, []) if k == kind), kind)
+    assert at("call +49 89 1234567", "phone") > at("so +49 89 1234567", "phone") > at("order +49 89 1234567", "phone") >= 0
+    assert at("host 1.2.3.4", "ip") > at("x 1.2.3.4", "ip") > at("version 1.2.3.4", "ip")
+    assert at("mail to contact a@b.cd", "email") == 1.0
+
+
+def test_scores_follow_spans(docs_of):
+    rows = pii.find(docs_of(["call +49 89 1234567 or 1.2.3.4", "none", None])).orderBy("doc_id").collect()
+    assert [(r["n_spans"], r["scores"]) for r in rows] == [(2, "0.60,0.90"), (0, ""), (0, "")]
+
+
 def test_edges(spark, docs_of):
     long = "x" * 300_000 + " " + "1" * 5000 + " a@b.cd"
     rows = pii.find(docs_of([None, "", long, (7, "a@b.cd"), (7, "a@b.cd"), (None, "1.2.3.4")]).withColumn("spans", F.lit("x")))
