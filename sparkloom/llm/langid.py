@@ -1,8 +1,10 @@
 """Language identification: sparse multinomial logistic regression on TF-IDF character n-grams.
 
-Training is follow-the-regularised-leader (proximal) with an elastic-net penalty on a bounded,
-reproducible sample of labelled rows; a temperature fitted on rows left out of it calibrates the
-probabilities. Scoring is vectorised over a text's code points and keeps no state.
+Languages and document frequencies are counted over all training rows. Training is
+follow-the-regularised-leader (proximal) with an elastic-net penalty on a bounded, reproducible sample,
+drawn for each language, so that rare ones are learned too; biases are moved back to the languages'
+own shares. A temperature fitted on rows left out of training calibrates the probabilities. Scoring
+is vectorised over a text's code points and keeps no state.
 """
 
 from __future__ import annotations
@@ -19,8 +21,8 @@ from sparkloom.llm.common import in_fifth
 
 SLOTS = 1 << 14
 ORDERS = (1, 2, 3)
-#: Labelled rows that training may use, spread over the rows by a hash of the id.
-MAX_ROWS = 4000
+#: Labelled rows that training may use, spread over a language's rows by a hash of the id; and languages there may be.
+MAX_ROWS, MAX_LANGS = 4000, 2000
 EPOCHS, ALPHA, BETA, L1, L2 = 3, 0.5, 1.0, 1e-4, 1e-4
 NO_LANG = "und"
 
@@ -89,13 +91,51 @@ def temperature(z: np.ndarray, y: np.ndarray) -> float:
     return float(grid[int(np.argmin(loss))])
 
 
+def quota(sizes: list[int], most: int) -> float:
+    """Rows of each language that together are at most most, where smaller languages give all they have."""
+    left, level = float(most), float(most)
+    for k, n in enumerate(sorted(sizes)):
+        level = left / (len(sizes) - k)
+        if n > level:
+            break
+        left -= n
+    return level
+
+
+def document_frequencies(own: DataFrame) -> np.ndarray:
+    """In how many texts (column t) of the table each slot occurs: summed in each task, then by slot."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(SLOTS, np.int64)
+        for b in batches:
+            for t in b.column(0).to_pylist():
+                held += counts(t) > 0
+        k = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(held[k])], ["slot", "n"])
+
+    df = np.zeros(SLOTS)
+    for r in own.select("t").mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect():
+        df[r["slot"]] = r["n"]
+    return df
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = MAX_ROWS) -> Model:
-    """Learns from rows with a language outside the held-out fifth; about max_rows of them at most."""
+    """Learns from rows with a language outside the held-out fifth; weights from about max_rows of them at most.
+
+    Raises where the language column names more than MAX_LANGS: that is no language column.
+    """
     own = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~in_fifth(F.col(id_col)))
-    n = own.agg(F.count(F.lit(1))).first()[0]
-    share = min(1.0, max_rows / max(n, 1))
-    place = F.pmod(F.xxhash64(F.lit(11), F.col(id_col)), F.lit(1 << 30))
-    own = own.where(place < int(share * (1 << 30))).select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("t"))
+    own = own.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("t"))
+    sizes = {r["lang"]: r["n"] for r in own.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGS + 1).collect()}
+    if len(sizes) > MAX_LANGS:
+        raise ValueError(f"{lang_col} names more than {MAX_LANGS} languages")
+    langs, total = sorted(sizes), sum(sizes.values())
+    if not langs:
+        return Model([], np.ones(SLOTS), np.zeros((SLOTS, 0)), np.zeros(0), 1.0)
+    level = quota(list(sizes.values()), max_rows)
+    shares = docs.sparkSession.createDataFrame([(x, int(min(1.0, level / n) * (1 << 30))) for x, n in sizes.items()], "s_lang string, share long")
+    place = F.pmod(F.xxhash64(F.lit(11), F.col("id")), F.lit(1 << 30))
+    chosen = own.join(F.broadcast(shares), F.col("lang") == F.col("s_lang")).where(place < F.col("share")).select("id", "lang", "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -104,27 +144,25 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                 c = counts(t)
                 k = np.flatnonzero(c)
                 slots.append(k.astype(np.uint16).tobytes())
-                values.append(np.minimum(c[k], 65535).astype(np.uint16).tobytes())
+                values.append(c[k].astype(np.uint32).tobytes())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(slots, pa.binary()), pa.array(values, pa.binary())], ["id", "lang", "slots", "n"])
 
-    rows = sorted(own.mapInArrow(run, "id long, lang string, slots binary, n binary").collect(), key=lambda r: (r["id"], r["lang"], r["slots"]))
-    langs = sorted({r["lang"] for r in rows})
-    if not langs:
-        return Model([], np.ones(SLOTS), np.zeros((SLOTS, 0)), np.zeros(0), 1.0)
-    parsed = [(np.frombuffer(r["slots"], np.uint16).astype(np.int64), np.frombuffer(r["n"], np.uint16), langs.index(r["lang"])) for r in rows]
-    df = np.zeros(SLOTS)
-    for k, _, _ in parsed:
-        df[k] += 1
-    idf = np.log((1 + len(parsed)) / (1 + df)) + 1
+    rows = sorted(chosen.mapInArrow(run, "id long, lang string, slots binary, n binary").collect(), key=lambda r: (r["id"], r["lang"], r["slots"], r["n"]))
+    idf = np.log((1 + total) / (1 + document_frequencies(own))) + 1
     vectors = []
-    for k, v, y in parsed:
-        x = np.sqrt(v) * idf[k]
-        vectors.append((k, x / max(float(np.sqrt(x @ x)), 1e-9), y))
+    for r in rows:
+        k, x = np.frombuffer(r["slots"], np.uint16).astype(np.int64), np.sqrt(np.frombuffer(r["n"], np.uint32))
+        x = x * idf[k]
+        vectors.append((k, x / max(float(np.sqrt(x @ x)), 1e-9), langs.index(r["lang"])))
     aside = vectors[::5] if len(vectors) >= 50 else []
     learn = [v for i, v in enumerate(vectors) if i % 5 or not aside]
     w, bias = ftrl(learn, len(langs))
-    z = np.array([x @ w[k] + bias for k, x, _ in aside]) if aside else None
-    return Model(langs, idf, w, bias, temperature(z, np.array([y for _, _, y in aside])) if aside else 1.0)
+    z, y = np.array([x @ w[k] + bias for k, x, _ in aside]), np.array([y for _, _, y in aside], int)
+    warmth = temperature(z, y) if aside else 1.0
+    # The sample holds languages in other shares than the rows do: calibrated, then as likely a priori as in the rows.
+    held = np.bincount([y for _, _, y in learn], minlength=len(langs))
+    prior = np.array([sizes[x] / total for x in langs]) / (np.maximum(held, 1) / max(held.sum(), 1))
+    return Model(langs, idf, w, bias + warmth * np.log(prior), warmth)
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
