@@ -3,7 +3,9 @@
 Long lines are hashed to 128 bits, counted over all documents, and those that enough documents
 hold are indexed: each shard is a minimal perfect hash (displacement table) into a fingerprint
 array, a count array and an array with the largest id that holds the line. Documents then
-probe the arrays where they lie; no line is joined and no text is shuffled.
+probe the arrays where they lie; no line is joined and no text is shuffled. An index that is too
+large to broadcast is probed shard by shard instead: digests of lines go to their shard's arrays,
+and line numbers come back. Either way the corpus is read twice, whatever the index holds.
 """
 
 from __future__ import annotations
@@ -17,16 +19,19 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from sparkloom.llm.common import LOWER, SPACE
-from sparkloom.storage import materialize
+from sparkloom.storage import broadcast_if_small, materialize
 
 MIN_CHARS = 40
 MIN_DOCS = 5
-#: Keys of one shard, and bytes of shards that one probing pass broadcasts.
+#: Keys of one shard, and bytes of index that may be broadcast; beyond, lines go to the shards.
 SHARD_KEYS = 1 << 16
-PASS_BYTES = 64 << 20
+BROADCAST_BYTES = 64 << 20
+#: Lines that probe one copy of a shard at most; a shard with a hot line is copied. Documents with dropped lines that may be broadcast.
+PROBES = 1 << 20
+BROADCAST_DOCS = 100_000
 LOWEST = -(1 << 63)
 INDEX = "shard int, n int, disp binary, fp binary, cnt binary, top binary, rest binary"
 
@@ -37,6 +42,13 @@ def line_key(line: str, min_chars: int) -> bytes | None:
     return line.encode("utf-8", "surrogatepass").translate(LOWER) if len(line) >= min_chars else None
 
 
+def long_lines(text: str | None, min_chars: int) -> Iterator[tuple[int, bytes]]:
+    """(number, key) of the lines that are long enough."""
+    for j, line in enumerate((text or "").split("\n")):
+        if (key := line_key(line, min_chars)) is not None:
+            yield j, key
+
+
 def digest(key: bytes) -> tuple[int, int]:
     return xxhash.xxh64_intdigest(key, seed=42), xxhash.xxh64_intdigest(key, seed=977)
 
@@ -130,20 +142,24 @@ def signed(pairs: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def line_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> tuple[DataFrame, int]:
-    """The shards (one row each) over every line hash that at least min_docs rows of docs hold, and their number."""
+    """The shards (one row each) over every line hash that at least min_docs documents hold, and their number.
+
+    Rows that share an id are one document, as are all rows without one.
+    """
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, ids = [], []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = {k for line in (text or "").split("\n") if (k := line_key(line, min_chars)) is not None}
+                own = {key for _, key in long_lines(text, min_chars)}
                 found += map(digest, own)
                 ids += [LOWEST if i is None else i] * len(own)
             h1, h2 = signed(found)
             yield pa.RecordBatch.from_arrays([pa.array(h1), pa.array(h2), pa.array(ids, pa.int64())], ["h1", "h2", "id"])
 
     lines = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).mapInArrow(hashed, "h1 long, h2 long, id long")
-    often = lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("id").alias("top")).where(F.col("n_docs") >= min_docs)
+    # Distinct first, dealt by line and id: a line that a third of all documents hold is summed before it meets one task.
+    often = lines.distinct().groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("id").alias("top")).where(F.col("n_docs") >= min_docs)
     often = materialize(often, "line-counts")
     n_shards = max(1, -(-often.count() // SHARD_KEYS))
 
@@ -156,61 +172,96 @@ def line_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return materialize(dealt.groupBy("shard").applyInPandas(build_index, INDEX), "line-shards"), n_shards
 
 
-def groups(index: DataFrame, n_shards: int) -> list[list[int]]:
-    """Shard numbers in groups of at most PASS_BYTES together (a shard has at most a few MB)."""
-    row = F.length("disp") + F.length("fp") + F.length("cnt") + F.length("top") + F.length("rest")
-    out, held = [[]], 0
-    for shard, size in index.select("shard", row.alias("bytes")).orderBy("shard").toLocalIterator():
-        if out[-1] and held + size > PASS_BYTES:
-            out.append([])
-            held = 0
-        out[-1].append(shard)
-        held += size
-    return out
+def index_bytes(index: DataFrame) -> int:
+    size = F.length("disp") + F.length("fp") + F.length("cnt") + F.length("top") + F.length("rest")
+    return index.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
 
 
 def probe_all(docs: DataFrame, index: DataFrame, n_shards: int, id_col: str, text_col: str, min_chars: int, min_docs: int, finish: Callable, schema: StructType | str) -> DataFrame:
-    """docs through the arrays, then through finish(batch, dropped line numbers of each row).
+    """docs through the arrays, then through finish(batch, dropped line numbers of each row)."""
+    if index_bytes(index) > BROADCAST_BYTES:
+        marks = marks_by_shard(docs, index, n_shards, id_col, text_col, min_chars, min_docs)
+        drops, m_id, m_mark = ("_".join(["dropped", x, *(c for c in docs.columns if c.startswith("dropped"))]) for x in ("lines", "id", "mark"))
+        marks = broadcast_if_small(materialize(marks.toDF(m_id, m_mark, drops), "line-marks"), BROADCAST_DOCS)
+        same = (F.xxhash64(docs[text_col]) == marks[m_mark]) & docs[id_col].cast("long").eqNullSafe(marks[m_id])
+        joined = docs.join(marks, same, "left").select(*(docs[c] for c in docs.columns), marks[drops])
+
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                yield finish(b.select(b.schema.names[:-1]), [d or [] for d in b.column(b.num_columns - 1).to_pylist()])
+
+        return joined.mapInArrow(cut, schema)
+    shared = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in index.collect()])
 
-    One pass over docs for each PASS_BYTES of index; between passes the marks are kept in a table.
-    """
-    sc, out = docs.sparkSession.sparkContext, docs
-    name = next(n for k in range(99) if (n := f"dropped_lines{k or ''}") not in docs.columns)
-    marked = StructType([*docs.schema.fields, StructField(name, ArrayType(IntegerType()))])
-    parts = groups(index, n_shards)
-    for k, own in enumerate(parts):
-        shared = sc.broadcast([tuple(r) for r in index.where(F.col("shard").isin(own)).collect()] if own else [])
-        last = k == len(parts) - 1
-        out = out.mapInArrow(marker(shared, n_shards, id_col, text_col, name, min_chars, min_docs, k > 0, finish if last else None), schema if last else marked)
-        out = out if last else materialize(out, "line-marks")
-    return out
-
-
-def marker(shared, n_shards: int, id_col: str, text_col: str, name: str, min_chars: int, min_docs: int, again: bool, finish: Callable | None) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         probe = Probe(shared.value, n_shards)
         for batch in batches:
             ids, texts = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (id_col, text_col))
-            found, where = [], []
+            found, where, drops = [], [], [[] for _ in ids]
             for r, text in enumerate(texts):
-                for j, line in enumerate((text or "").split("\n")):
-                    if (key := line_key(line, min_chars)) is not None:
-                        found.append(digest(key))
-                        where.append((r, j))
-            drops = batch.column(batch.num_columns - 1).to_pylist() if again else [[] for _ in ids]
+                for j, key in long_lines(text, min_chars):
+                    found.append(digest(key))
+                    where.append((r, j))
             if found:
                 count, top = probe.find(*signed(found))
                 for k in np.flatnonzero(count >= min_docs):
                     r, j = where[k]
                     if top[k] != (LOWEST if ids[r] is None else ids[r]):
                         drops[r].append(j)
-            width = batch.num_columns - again
-            if finish:
-                yield finish(batch.select(batch.schema.names[:width]), drops)
-            else:
-                yield pa.RecordBatch.from_arrays([*batch.columns[:width], pa.array(drops, pa.list_(pa.int32()))], [*batch.schema.names[:width], name])
+            yield finish(batch, drops)
+
+    return docs.mapInArrow(run, schema)
 
-    return run
+
+def marks_by_shard(docs: DataFrame, index: DataFrame, n_shards: int, id_col: str, text_col: str, min_chars: int, min_docs: int) -> DataFrame:
+    """(id, mark, drops): the numbers of the lines that a text loses; mark is the text's hash. Only digests are shuffled.
+
+    A shard's arrays and the digests that fall to it meet in one task, the arrays first, so a task holds one shard
+    at a time; a shard that more than PROBES lines fall to is copied and its lines are dealt out over the copies.
+    """
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 256):
+                b = batch.slice(k, 256)
+                found, ids, marks, at = [], [], [], []
+                for i, mark, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                    for j, key in long_lines(text, min_chars):
+                        found.append(digest(key))
+                        ids.append(i)
+                        marks.append(mark)
+                        at.append(j)
+                h1, h2 = signed(found)
+                of = (h1.view(np.uint64) % np.uint64(n_shards)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(of), pa.array(h1), pa.array(h2), pa.array(ids, pa.int64()), pa.array(marks, pa.int64()), pa.array(at, pa.int32())], ["shard", "h1", "h2", "id", "mark", "line"])
+
+    rows = docs.select(F.col(id_col).cast("long").alias("i"), F.xxhash64(text_col).alias("m"), F.col(text_col).alias("t"))
+    lines = materialize(rows.mapInArrow(hashed, "shard int, h1 long, h2 long, id long, mark long, line int"), "line-probes")
+    copies = lines.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / PROBES).cast("int").alias("copies"))
+    copies = broadcast_if_small(materialize(copies, "shard-copies"), BROADCAST_DOCS)
+    arrays = index.columns[1:]
+    none = lambda names, kind: [F.lit(None).cast(k).alias(n) for n, k in zip(names, kind, strict=True)]
+    probes = lines.join(copies, "shard").select("shard", F.pmod(F.xxhash64("id", "mark", "line"), F.col("copies")).cast("int").alias("copy"), F.lit(1).alias("kind"), *none(arrays, ["int"] + ["binary"] * 5), "h1", "h2", "id", "mark", "line")
+    shards = index.join(copies, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), F.lit(0).alias("kind"), *arrays, *none(("h1", "h2", "id", "mark", "line"), ["long"] * 4 + ["int"]))
+    dealt = shards.union(probes).repartition("shard", "copy").sortWithinPartitions("shard", "copy", "kind")
+
+    def probe_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        probe = Probe([], n_shards)
+        for batch in batches:
+            begin = 0
+            for at in [*np.flatnonzero(batch.column(2).to_numpy() == 0).tolist(), batch.num_rows]:
+                part = batch.slice(begin, at - begin)
+                if part.num_rows:
+                    count, top = probe.find(part.column(9).to_numpy(), part.column(10).to_numpy())
+                    gone = (count >= min_docs) & (top != part.column(11).fill_null(LOWEST).to_numpy())
+                    yield pa.RecordBatch.from_arrays([c.filter(pa.array(gone)) for c in part.columns[11:]], ["id", "mark", "line"])
+                if at < batch.num_rows:
+                    shard = [c[at].as_py() for c in batch.columns]
+                    probe = Probe([(shard[0], *shard[3:9])], n_shards)
+                begin = at + 1
+
+    gone = dealt.mapInArrow(probe_rows, "id long, mark long, line int")
+    return gone.groupBy("id", "mark").agg(F.sort_array(F.collect_set("line")).alias("drops"))
 
 
 def kept_text(text: str | None, dropped: list[int]) -> str:
@@ -221,8 +272,8 @@ def kept_text(text: str | None, dropped: list[int]) -> str:
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """docs with repeated lines removed from text_col, all other columns as they were.
 
-    A null text is one empty line and becomes empty. Each row counts as a document, also where rows
-    repeat; rows that share the largest id all keep the line. A null id ranks below all others.
+    A null text is one empty line and stays null. Rows that share an id count as one document, as do all
+    rows without one; all rows with the largest id keep the line. A null id ranks below all others.
     """
 
     def rewrite(b: pa.RecordBatch, drops: list) -> pa.RecordBatch:

@@ -17,16 +17,16 @@ def low(s):
 
 def plain(rows, min_chars=40, min_docs=5):
     keys = lambda t: [low(x.strip(SPACE)) for x in (t or "").split("\n")]
-    n, top = defaultdict(int), {}
+    held, top = defaultdict(set), {}
     for i, t in rows:
         for k in set(keys(t)):
             if len(k) >= min_chars:
-                n[k] += 1
+                held[k].add(i)
                 top[k] = max(top.get(k, -(1 << 63)), -(1 << 63) if i is None else i)
     out = []
     for i, t in rows:
         lines = (t or "").split("\n")
-        kept = [x for x, k in zip(lines, keys(t)) if not (len(k) >= min_chars and n[k] >= min_docs and top[k] != i)]
+        kept = [x for x, k in zip(lines, keys(t)) if not (len(k) >= min_chars and len(held[k]) >= min_docs and top[k] != i)]
         out.append((i, len(lines), len(lines) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest()))
     return sorted(out, key=str)
 
@@ -57,14 +57,37 @@ def test_edges(docs_of):
     assert report(docs_of([]).limit(0)) == []
 
 
-def test_shards_and_passes(docs_of, monkeypatch):
+def test_shards(docs_of, monkeypatch):
     rows = [(i, "\n".join(f"this is line number {k} of the shared lines in this test" for k in range(60))) for i in range(6)]
     want = plain(rows)
     monkeypatch.setattr(L, "SHARD_KEYS", 7)
-    monkeypatch.setattr(L, "PASS_BYTES", 400)
     assert report(docs_of(rows)) == want
 
 
+def test_shards_that_are_probed_apart_give_the_same(spark, data, docs_of, monkeypatch):
+    a = "The same long line, held by many documents here."
+    rows = [(i, "\n".join([a, a] + [f"this is line number {k} of the shared lines in this test" for k in range(60)])) for i in range(6)]
+    rows += [(None, a), (3, a), (3, a), (7, None), (8, ""), (9, "\n" + a * 2)]
+    for name, value in (("SHARD_KEYS", 7), ("BROADCAST_BYTES", 0), ("PROBES", 3)):
+        monkeypatch.setattr(L, name, value)
+    for docs_rows in (1, 100_000):
+        monkeypatch.setattr(L, "BROADCAST_DOCS", docs_rows)
+        assert report(docs_of(rows).withColumn("dropped_lines", F.lit(1)).withColumn("mark", F.lit("m"))) == plain(rows)
+    out = L.dedup_lines(docs_of(rows).withColumn("dropped_id", F.lit(5)))
+    assert out.columns[-1] == "dropped_id" and {r["dropped_id"] for r in out.collect()} == {5}
+    documents = spark.read.parquet(f"{data}/documents.parquet")
+    assert report(documents) == plain([(r["doc_id"], r["text"]) for r in documents.collect()])
+    assert report(docs_of([]).limit(0)) == []
+
+
+def test_rows_of_one_id_are_one_document(docs_of):
+    line = "A line of well over forty characters, repeated in all of them."
+    rows = [(1, line), (1, line + "\nx"), (2, line), (2, line), (3, line)]
+    assert report(docs_of(rows)) == plain(rows) and all(r[2] == 0 for r in report(docs_of(rows)))
+    rows += [(None, line), (4, line)]
+    assert report(docs_of(rows)) == plain(rows) and sum(r[2] for r in report(docs_of(rows))) == 6
+
+
 def test_texts_keep_other_columns(docs_of):
     line = "A line of well over forty characters, repeated in all of them."
     out = L.dedup_lines(docs_of([(i, f"{line}\n{i}") for i in range(5)]).withColumn("n", F.lit(2))).orderBy("doc_id").collect()
