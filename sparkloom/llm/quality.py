@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.llm.common import let, words
-from sparkloom.storage import broadcast_if_small, materialize
+from sparkloom.storage import materialize
 
 #: Buckets that unigrams and bigrams hash into.
 BUCKETS = 1 << 15
@@ -22,8 +22,8 @@ SMOOTHING = 1.0
 SCALE = 10_000
 #: Mean log-likelihood ratio per n-gram below which a document goes.
 THRESHOLD = -0.08
-#: Trusted ids that may be broadcast (about 80 bytes each as a hash table); beyond, the join shuffles.
-BROADCAST_IDS = 1_000_000
+#: Trusted ids that may be broadcast (about 60 bytes each as a hash table); beyond, trusted texts are joined and counted apart.
+BROADCAST_IDS = 500_000
 SYMBOLS = "[#*$%&|<>]"
 
 
@@ -45,11 +45,18 @@ def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: s
     The bucket table has a fixed number of rows, whatever the corpus. Without trusted
     documents every ratio is 0.
     """
-    ids = trusted.select(F.col(id_col).alias("t_id")).where("t_id is not null").distinct()
-    ids = broadcast_if_small(materialize(ids.withColumn("is_target", F.lit(1)), "trusted"), BROADCAST_IDS)
+    ids = materialize(trusted.select(F.col(id_col).alias("t_id")).where("t_id is not null").distinct(), "trusted")
     rows = docs.select(F.col(id_col).alias("d_id"), F.col(text_col).alias("t"))
-    rows = rows.join(ids, rows.d_id == ids.t_id, "left").select("is_target", F.explode(grams(words(F.col("t")), lambda h, p: F.concat(h, p))).alias("gram"))
-    counts = rows.groupBy(F.col("gram").bitwiseAND(F.lit(buckets - 1)).cast("int").alias("bucket")).agg(F.count(F.lit(1)).alias("raw"), F.sum(F.coalesce("is_target", F.lit(0))).alias("target"))
+    gram = F.explode(grams(words(F.col("t")), lambda h, p: F.concat(h, p))).alias("gram")
+    bucket = F.col("gram").bitwiseAND(F.lit(buckets - 1)).cast("int").alias("bucket")
+    n = F.count(F.lit(1))
+    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        rows = rows.join(F.broadcast(ids), rows.d_id == ids.t_id, "left").select(F.col("t_id").isNotNull().cast("int").alias("is_target"), gram)
+        counts = rows.groupBy(bucket).agg(n.alias("raw"), F.sum("is_target").alias("target"))
+    else:  # only the target's own texts are dealt out; the raw corpus is counted where it lies
+        raw = rows.select(gram).groupBy(bucket).agg(n.alias("raw"))
+        target = rows.join(ids, rows.d_id == ids.t_id).select(gram).groupBy(bucket).agg(n.alias("target"))
+        counts = raw.join(target, "bucket", "left").select("bucket", "raw", F.coalesce("target", F.lit(0)).alias("target"))
     counts = materialize(counts, "ngram-counts")
     total = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("raw_all"), F.coalesce(F.sum("target"), F.lit(0)).alias("target_all")).first()
     raw_all, target_all = total["raw_all"], total["target_all"]

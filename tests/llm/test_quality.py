@@ -61,3 +61,11 @@ def test_keep_agrees_with_judge(spark, data):
     model = quality.fit(docs, spark.read.parquet(f"{data}/labels.parquet").where("quality = 1"))
     kept = {r["doc_id"] for r in quality.keep(docs, model).select("doc_id").collect()}
     assert kept == {r["doc_id"] for r in quality.judge(docs, model).where("kept").collect()}
+
+
+def test_many_trusted_ids_give_the_same_model(spark, data, monkeypatch):
+    docs, labels = spark.read.parquet(f"{data}/documents.parquet"), spark.read.parquet(f"{data}/labels.parquet")
+    trusted = labels.where("quality = 1").select("doc_id")
+    want = quality.fit(docs, trusted)
+    monkeypatch.setattr(quality, "BROADCAST_IDS", 3)
+    assert want.any() and (quality.fit(docs, trusted) == want).all()
