@@ -1,5 +1,9 @@
 """The grammar's tags, learning, and edges."""
 
+import math
+import random
+import re
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -76,3 +80,83 @@ def test_only_copies_are_folded(spark, docs_of):
     rows = X.sample(docs_of(texts + copies), labels, "doc_id", "text", "toxic", X.MAX_ROWS)
     assert rows.select("kin").distinct().count() == 61
     assert X.learn_terms(rows).words["zorblat"][0] == "INS"
+
+
+def plain_features(text, lexicon):
+    """The grammar told directly: each insult and threat looks back in its clause for what stands before it."""
+    out, low = dict.fromkeys(X.TAGS, 0.0), (text or "").lower()
+    for clause in re.split(r"[.!?;:\n]+", low):
+        tags = [lexicon.tag(w) for w in re.findall(r"[^\W\d_]+", clause)]
+        near = lambda kind, at: any(tags[j][0] == kind for j in range(max(0, at - X.SCOPE), at))
+        said = lambda at: any(tags[j][0] == "REP" for j in range(at))
+        done = -1
+        for at, (tag, strength) in enumerate(tags):
+            if tag == "INS":
+                mark = "~" if near("NEG", at) else '"' if said(at) else ""
+                out["INS" + "@" * near("TGT", at) + mark] += strength
+            if tag == "TGT":
+                threats = [j for j in range(max(done + 1, at - X.SCOPE), at) if tags[j][0] == "THR"]
+                if threats:
+                    j, done = threats[-1], at
+                    out["THREAT" + ("~" if near("NEG", j) else '"' if said(j) else "")] += X.SEED_STRENGTH
+    return [min(out[t], X.MOST) for t in X.TAGS]
+
+
+def test_features_equal_a_plain_look_back():
+    rng = random.Random(5)
+    lexicon = X.Lexicon({**SEEDS.words, "grump": ("INS", 0.31)}, {"zorb": 0.55})
+    pool = ["idiot", "grump", "zorblat", "kill", "hurt", "you", "they", "not", "never", "said", "wrote", "a", "b", "c", "d"]
+    for _ in range(4000):
+        text = "".join(rng.choice(pool).title() + rng.choice([" "] * 9 + [". ", "; "]) for _ in range(rng.randrange(1, 25)))
+        want = plain_features(text, lexicon)
+        if lexicon.triggers(set(X.WORD.findall(text.lower()))):
+            assert np.allclose(X.features(text, lexicon), want), text
+        else:
+            assert not any(want) and not X.features(text, lexicon).any()
+
+
+def test_weights_equal_a_plain_descent():
+    rng = np.random.default_rng(3)
+    k = len(X.TAGS)
+    x = rng.random((60, k)) * (rng.random((60, k)) < 0.3)
+    y = (x @ rng.normal(0, 2, k) - 0.3 > 0).astype(float)
+    w = X.fit_weights(x, y)
+    assert (w[1:] >= 0).all()
+    rows = [[1.0, *r] for r in x.tolist()]
+    v = X.PRIOR.tolist()
+    for _ in range(30_000):
+        p = [1 / (1 + math.exp(-sum(a * b for a, b in zip(r, v)))) for r in rows]
+        g = [sum((q - t) * r[j] for q, t, r in zip(p, y, rows)) + (v[j] - X.PRIOR[j]) / X.PRIOR_SD**2 for j in range(k + 1)]
+        v = [v[0] - 0.05 * g[0], *(max(0.0, a - 0.05 * b) for a, b in zip(v[1:], g[1:]))]
+        if max(abs(b) for a, b in zip(v, g) if a > 0 or b < 0) < 1e-6:
+            break
+    assert np.allclose(w, v, atol=1e-4)
+    assert np.allclose(w, X.fit_weights(np.repeat(x, 3, axis=0), np.repeat(y, 3), np.full(180, 1 / 3)), atol=1e-5)
+
+
+def test_weights_settle_where_classes_are_apart_or_one_row_outweighs_all():
+    far = np.zeros((2000, len(X.TAGS)))
+    far[:100] = X.MOST
+    for y in (np.arange(2000) < 100, np.arange(2000) >= 100, np.arange(2000) % 2 == 0):
+        assert np.isfinite(X.fit_weights(far, y.astype(float))).all()
+    x = np.eye(len(X.TAGS)) * X.MOST
+    w = X.fit_weights(x, np.ones(len(x)), np.full(len(x), 1e6))
+    assert np.isfinite(w).all()
+
+
+def test_held_out_recall_for_every_sample(spark):
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet").cache() for n in ("documents", "labels"))
+    rows = docs.join(labels.where(X.in_fifth(F.col("doc_id"))), "doc_id").cache()
+    toxic, clean = rows.where("toxic = 1").count(), rows.where("toxic = 0").count()
+    for seed in range(1, 6):
+        model = X.fit(docs, labels, max_rows=2500, seed=seed)
+        got = X.predict(rows, model).join(labels, "doc_id").where("predicted = 1").groupBy().agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n")).first()
+        assert got["t"] >= 0.85 * toxic and got["n"] - got["t"] <= 0.02 * clean
+
+
+def test_one_class_alone_teaches_nothing(spark, docs_of):
+    docs, labels = labelled(docs_of, spark, 60)
+    for y in (0, 1):
+        m = X.fit(docs, labels.withColumn("toxic", F.lit(y)))
+        assert (m.weights == X.PRIOR).all() and m.lexicon == X.seeded()
