@@ -6,11 +6,10 @@ most their Hamming distance, so tile pairs whose counts differ by more than the
 formed; the others are compared bit by bit with numpy. From each tile pair only a spanning forest
 of its links goes on, which keeps every component and stays linear in the tile's size.
 
-near_groups() links at 2 of 64 bits, which finds copies but few edited ones. similar_groups() links at
-a Jaccard similarity of five-word shingles, estimated from 512 bits; its tiles hold sets of like size,
-since sets whose sizes differ by more than a quarter can't be similar. exact_groups() and keep_one()
-let the 512 bits only propose, with a radius that similar sets don't exceed, and then decide on the
-shingle sets of all that a proposed component holds.
+near_groups() links at 2 of 64 bits, which finds copies but few edited ones. exact_groups() and
+keep_one() link at a Jaccard similarity of five-word shingles: 512 bits propose, with a radius that
+similar sets don't exceed, over tiles of like-sized sets (sets whose sizes differ by more than a
+quarter can't be similar), and the shingle sets of all that a proposed component holds decide.
 """
 
 from __future__ import annotations
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.llm.common import LOWER
-from sparkloom.storage import materialize
+from sparkloom.storage import broadcast_if_small, discard, materialize
 
 RADIUS = 2
 SHINGLE = 3
@@ -39,9 +38,9 @@ WIDE_SHINGLE = 5
 SIMILARITY = 0.8
 WORDS = 8
 WIDE = tuple(f"w{k}" for k in range(WORDS))
-#: Bits of the first word in which similar texts differ at most (10 on average at 0.8, standard deviation 3).
-FIRST_WORD = 20
 LARGEST_PIECE = 250_000
+#: Ids of near copies that may be broadcast; beyond, the join shuffles.
+BROADCAST_IDS = 500_000
 #: Chance that one similar pair lies outside the radius of a proposal.
 MISS = 1e-9
 #: Shingles and sets of one piece of a proposed component, whose sets are compared in pairs of pieces.
@@ -131,8 +130,12 @@ def links(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
     dealt = tiled.join(sizes, "tile").withColumn("piece", F.pmod(F.xxhash64("fp"), F.col("pieces")).cast("int"))
     tiles = materialize(dealt.groupBy("tile", "piece").agg(F.collect_list("fp").alias("fps")), "simhash-tiles")
     steps = [sum(x * base**k for k, x in enumerate(d)) for d in neighbours(blocks, radius)]
-    left = tiles.select(F.col("tile").alias("tile_a"), F.col("piece").alias("piece_a"), F.col("fps").alias("x"), F.explode(F.transform(F.array(*map(F.lit, steps)), lambda s: F.col("tile") + s)).alias("tile"))
-    pairs = left.join(tiles.select("tile", "piece", F.col("fps").alias("y")), "tile").where((F.col("tile") != F.col("tile_a")) | (F.col("piece") >= F.col("piece_a")))
+    # Pairs of keys first: arrays are copied only for tiles that have a neighbour.
+    keys = tiles.select("tile", "piece")
+    left = keys.select(F.col("tile").alias("tile_a"), F.col("piece").alias("piece_a"), F.explode(F.transform(F.array(*map(F.lit, steps)), lambda s: F.col("tile") + s)).alias("tile"))
+    pairs = left.join(keys, "tile").where((F.col("tile") != F.col("tile_a")) | (F.col("piece") >= F.col("piece_a")))
+    pairs = pairs.join(tiles.select(F.col("tile").alias("tile_a"), F.col("piece").alias("piece_a"), F.col("fps").alias("x")), ["tile_a", "piece_a"])
+    pairs = pairs.join(tiles.withColumnRenamed("fps", "y"), ["tile", "piece"])
     pairs = pairs.select("x", "y", ((F.col("tile") == F.col("tile_a")) & (F.col("piece") == F.col("piece_a"))).alias("same"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +172,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("low"))
         small = large.join(low, "u")
         small = small.select("u", F.col("low").alias("v")).union(small.where("v != low").select("v", "low")).distinct()
-        star = materialize(small, "star")
+        old, star = star, materialize(small, "star")
+        discard(old)
         now = star.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             return star.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
@@ -226,12 +230,6 @@ def wide_fingerprint(h: np.ndarray) -> np.ndarray:
     return np.packbits(2 * ones > len(h), axis=1, bitorder="little").view(np.uint64).ravel()
 
 
-def wide_radius(similarity: float) -> int:
-    """Bits in which two wide fingerprints may differ: what the similarity gives on average, and 1.8 standard deviations."""
-    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(64 * WORDS * p + 1.8 * math.sqrt(64 * WORDS * p * (1 - p)))
-
-
 def reach(bits: int, p: float, miss: float = MISS) -> int:
     """The number of bits that, where each differs with probability p, more differ with a chance of at most miss."""
     tail = 0.0
@@ -253,24 +251,23 @@ def proposal_radii(similarity: float, words: int) -> np.ndarray:
     return np.array([reach(64 * words, p * (1 + 1 / max(n, 1))) for n in range(65)])
 
 
-def wide_forest(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, same: bool, similarity: float, propose: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Links (positions, those of y behind those of x) of a spanning forest of the pairs that are similar.
+def wide_forest(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, same: bool, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links (positions, those of y behind those of x) of a spanning forest of the pairs that may be similar.
 
-    x, y: wide fingerprints, nx, ny: their shingle counts. The first word (two of them, to propose) rules out
-    nearly all unlike pairs; those that already are in one tree aren't looked at again.
+    x, y: wide fingerprints, nx, ny: their shingle counts. The first two words rule out nearly all unlike pairs;
+    those that already are in one tree aren't looked at again.
     """
     n = nx if same else np.concatenate((nx, ny))
     wide = x if same else np.concatenate((x, y))
-    label, first, radius, shift = np.arange(len(n)), np.ascontiguousarray(wide[:, 0]), wide_radius(similarity), 0 if same else len(x)
-    second, most = np.ascontiguousarray(wide[:, 1]), FIRST_WORD
-    if propose:
-        cuts, radii = proposal_radii(similarity, 2), proposal_radii(similarity, WORDS)
-        most = cuts[min(n.min(), 64)]
+    label, shift = np.arange(len(n)), 0 if same else len(x)
+    first, second = (np.ascontiguousarray(wide[:, k]) for k in (0, 1))
+    radii = proposal_radii(similarity, WORDS)
+    most = proposal_radii(similarity, 2)[min(n.min(), 64)]
     for i in range(0, len(x), 256):
         for j in range(i + shift if same else shift, len(n), 8192):
-            bits = np.bitwise_count(first[i : min(i + 256, len(x)), None] ^ first[None, j : j + 8192])
-            if propose:
-                bits += np.bitwise_count(second[i : min(i + 256, len(x)), None] ^ second[None, j : j + 8192])
+            rows = slice(i, min(i + 256, len(x)))
+            bits = np.bitwise_count(first[rows, None] ^ first[None, j : j + 8192])
+            bits += np.bitwise_count(second[rows, None] ^ second[None, j : j + 8192])
             a, b = np.nonzero(bits <= most)
             a, b = a + i, b + j
             for k in range(0, len(a), 1 << 15):
@@ -278,7 +275,7 @@ def wide_forest(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, sa
                 open_ = label[c] != label[d]
                 c, d = c[open_], d[open_]
                 small = np.minimum(n[c], n[d])
-                near = (small >= similarity * np.maximum(n[c], n[d])) & (np.bitwise_count(wide[c] ^ wide[d]).sum(axis=1, dtype=np.int32) <= (radii[np.minimum(small, 64)] if propose else radius))
+                near = (small >= similarity * np.maximum(n[c], n[d])) & (np.bitwise_count(wide[c] ^ wide[d]).sum(axis=1, dtype=np.int32) <= radii[np.minimum(small, 64)])
                 if near.any():
                     label = roots(len(n), label[c[near]], label[d[near]])[label]
     moved = np.flatnonzero(label != np.arange(len(n)))
@@ -306,12 +303,12 @@ def wide_prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return rows.mapInArrow(run, "id long, text_hash long, n long, mark long, bucket int, " + ", ".join(f"{w} long" for w in WIDE))
 
 
-def wide_links(classes: DataFrame, similarity: float = SIMILARITY, propose: bool = False) -> DataFrame:
-    """(a, b) pairs of nodes that join exactly those within the radius (to propose: the wider one); classes: node, n, bucket, w0 to w7 of distinct fingerprints.
+def wide_links(classes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(a, b) pairs of nodes that join exactly those within the radius of a proposal; classes: node, n, bucket, w0 to w7 of distinct fingerprints.
 
-    A tile holds fingerprints of one bucket of shingle counts. At 0.8 or more, similar sets lie in one or
-    two neighbouring buckets, so other tile pairs are skipped. Large tiles are cut into pieces, so that no
-    task compares more than two pieces at once.
+    A tile holds fingerprints of one bucket of shingle counts. Tile pairs are skipped whose population counts
+    differ by more than the radius, and those of buckets that aren't neighbours: at 0.8 or more, similar sets lie in
+    one bucket or two neighbouring ones. Large tiles are cut into pieces, so that no task compares more than two at once.
     """
     if similarity < 0.8:
         raise ValueError("buckets of shingle counts are made for similarities of 0.8 and more")
@@ -320,10 +317,16 @@ def wide_links(classes: DataFrame, similarity: float = SIMILARITY, propose: bool
     # At most 196 rows: a bucket's number is a logarithm of a 64-bit count. The join leaves rows where they lie,
     # so that tiles are dealt out by piece too and not by bucket alone.
     dealt = classes.join(F.broadcast(sizes), "bucket").withColumn("piece", F.pmod(F.xxhash64(*WIDE), F.col("pieces")).cast("int"))
-    tiles = materialize(dealt.groupBy("bucket", "piece").agg(F.collect_list(F.struct("node", "n", *WIDE)).alias("own")), "wide-tiles")
-    keys = tiles.select("bucket", "piece")
-    other = keys.select(F.col("bucket").alias("o_bucket"), F.col("piece").alias("o_piece"))
-    pairs = keys.withColumn("o_bucket", F.explode(F.array(F.col("bucket"), F.col("bucket") + 1))).join(other, "o_bucket").where((F.col("o_bucket") != F.col("bucket")) | (F.col("o_piece") >= F.col("piece")))
+    population = sum((F.bit_count(w) for w in WIDE[1:]), F.bit_count(WIDE[0]))
+    ends = (F.min(population).alias("low"), F.max(population).alias("high"))
+    tiles = materialize(dealt.groupBy("bucket", "piece").agg(F.collect_list(F.struct("node", "n", *WIDE)).alias("own"), *ends), "wide-tiles")
+    keys = tiles.select("bucket", "piece", "low", "high")
+    tiles = tiles.select("bucket", "piece", "own")
+    other = keys.toDF("o_bucket", "o_piece", "o_low", "o_high")
+    radius = int(proposal_radii(similarity, WORDS).max())
+    near = (F.col("o_low") - F.col("high") <= radius) & (F.col("low") - F.col("o_high") <= radius)
+    pairs = keys.withColumn("o_bucket", F.explode(F.array(F.col("bucket"), F.col("bucket") + 1))).join(other, "o_bucket")
+    pairs = pairs.where(near & ((F.col("o_bucket") != F.col("bucket")) | (F.col("o_piece") >= F.col("piece")))).select("bucket", "piece", "o_bucket", "o_piece")
     pairs = pairs.join(tiles.withColumnRenamed("own", "x"), ["bucket", "piece"])
     right = tiles.select(F.col("bucket").alias("o_bucket"), F.col("piece").alias("o_piece"), F.col("own").alias("y"))
     pairs = pairs.join(right, ["o_bucket", "o_piece"]).select("x", "y", ((F.col("o_bucket") == F.col("bucket")) & (F.col("o_piece") == F.col("piece"))).alias("same"))
@@ -337,7 +340,7 @@ def wide_links(classes: DataFrame, similarity: float = SIMILARITY, propose: bool
             for r, same in enumerate(batch.column(2).to_pylist()):
                 node, n, wide = unpacked(batch.column(0), r)
                 o_node, o_n, o_wide = (node, n, wide) if same else unpacked(batch.column(1), r)
-                a, b = wide_forest(wide, o_wide, n, o_n, same, similarity, propose)
+                a, b = wide_forest(wide, o_wide, n, o_n, same, similarity)
                 nodes = node if same else np.concatenate((node, o_node))
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(nodes[a]), pa.array(nodes[b])], ["a", "b"])
@@ -345,21 +348,6 @@ def wide_links(classes: DataFrame, similarity: float = SIMILARITY, propose: bool
     return pairs.mapInArrow(compare, "a long, b long")
 
 
-def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, size: int = WIDE_SHINGLE) -> DataFrame:
-    """One row per row of docs: id and component_id, the smallest id that is reachable over links of similar texts.
-
-    Two texts link if their wide fingerprints say that their sets of size-word shingles have the
-    similarity (Jaccard) or more: an estimate, with a standard deviation of about 0.04 at 0.8, and with a radius that is
-    on the side of linking. Texts without words link to each other. Rows that share an id are
-    one document. Rows without id get their text's or component's smallest id, or null where there is none.
-    """
-    prints = materialize(wide_prints(docs, id_col, text_col, size), "wide-prints")
-    node = F.coalesce(F.min("id"), F.xxhash64("n", *WIDE))  # only texts whose rows all lack an id need a number of their own
-    classes = materialize(prints.groupBy("n", "bucket", *WIDE).agg(F.min("id").alias("low"), node.alias("node")), "wide-classes")
-    linked = components(materialize(wide_links(classes.select("node", "n", "bucket", *WIDE), similarity), "wide-edges"))
-    return component_ids(prints, classes, linked, ["n", *WIDE]).withColumnRenamed("id", id_col)
-
-
 def component_ids(prints: DataFrame, classes: DataFrame, linked: DataFrame, keys: list[str]) -> DataFrame:
     """(id, component_id) of every row of prints; keys name its class, linked the roots of the classes' nodes."""
     rooted = classes.join(linked.withColumnRenamed("node", "l_node"), F.col("node") == F.col("l_node"), "left").select(*keys, "low", F.coalesce("root", "node").alias("root"))
@@ -433,14 +421,15 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Two texts link if their sets of size-word shingles have the similarity (Jaccard) or more, counted on the
     sets. Only sets of one component of the proposals are counted; a similar pair is outside with a chance of
-    about MISS. Texts without words link to each other; ids as in similar_groups().
+    about MISS. Texts without words link to each other. Rows that share an id are one document. Rows without id
+    get their text's or component's smallest id, or null where there is none.
     """
     prints = materialize(wide_prints(docs, id_col, text_col, size), "wide-prints")
     node = F.coalesce(F.min("id"), F.xxhash64("n", "mark"))
     one = F.min(F.struct("id", "text_hash"))
     classes = prints.groupBy("n", "bucket", "mark").agg(F.min("id").alias("low"), node.alias("node"), one.alias("one"), *(F.min(w).alias(w) for w in WIDE))
     classes = materialize(classes, "wide-classes")
-    proposed = components(materialize(wide_links(classes.select("node", "n", "bucket", *WIDE), similarity, propose=True), "wide-edges"))
+    proposed = components(materialize(wide_links(classes.select("node", "n", "bucket", *WIDE), similarity), "wide-edges"))
     proposed = proposed.union(proposed.select(F.col("root").alias("node"), "root").distinct())  # roots aren't among the nodes
     members = classes.join(proposed.withColumnRenamed("node", "p_node"), F.col("node") == F.col("p_node")).select("node", "root", "n", "one.id", "one.text_hash")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("t"))
@@ -452,4 +441,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     """The rows of docs that have the smallest id of their group of similar texts (rows without id only where no member has one)."""
     groups = exact_groups(docs, id_col, text_col, similarity, size)
     gone = groups.where(F.col("component_id").isNotNull() & ~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("gone_id")).distinct()
+    gone = broadcast_if_small(materialize(gone, "near-copies"), BROADCAST_IDS)
     return docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["gone_id"]), "left_anti")

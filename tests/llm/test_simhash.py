@@ -93,17 +93,6 @@ def wide(text, words=8, size=5):
     return len(h), out
 
 
-def similar_components(prints, radius, similarity=0.8):
-    label = list(range(len(prints)))
-    for i, (n, a) in enumerate(prints):
-        for j, (o, b) in enumerate(prints[:i]):
-            first = (1 << 64) - 1
-            if ((a ^ b) & first).bit_count() <= 20 and (a ^ b).bit_count() <= radius and min(n, o) >= similarity * max(n, o):
-                x, y = label[i], label[j]
-                label = [min(x, y) if v in (x, y) else v for v in label]
-    return label
-
-
 def shingle_set(text):
     w = text.lower().split()
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
@@ -113,26 +102,6 @@ def edited(rng, text, share):
     return " ".join(f"new{rng.randrange(10**6)}" if rng.random() < share else w for w in text.split())
 
 
-def test_similar_groups_equal_all_pairs_and_find_near_copies(docs_of, monkeypatch):
-    rng, texts = random.Random(3), []
-    for k in range(25):
-        base = " ".join(f"w{rng.randrange(5000)}" for _ in range(rng.choice((12, 60, 240, 900))))
-        texts += [base] * (1 + k % 2) + [edited(rng, base, rng.choice((0.005, 0.01, 0.02, 0.05))) for _ in range(k % 5)]
-    texts += ["", None, " \n", "one two", "one two three"]
-    rng.shuffle(texts)
-    label = similar_components([wide(t) for t in texts], S.wide_radius(0.8))
-    for piece in (4096, 7):
-        monkeypatch.setattr(S, "PIECE", piece)
-        got = {r["doc_id"]: r["component_id"] for r in S.similar_groups(docs_of(texts)).collect()}
-        assert got == dict(enumerate(label))
-    sets = [shingle_set(t) if t and t.strip() else set() for t in texts]
-    alike = [(i, j) for i in range(len(texts)) for j in range(i) if sets[i] and sets[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
-    assert len(alike) > 20 and sum(label[i] == label[j] for i, j in alike) >= 0.97 * len(alike)
-    for i, c in enumerate(label):
-        if sets[i] and c != i:
-            assert max(len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for j in range(len(texts)) if j != i and sets[j]) > 0.6
-
-
 def exact_components(texts, similarity=0.8):
     sets = [shingle_set(t) if t and t.strip() else set() for t in texts]
     label = list(range(len(sets)))
