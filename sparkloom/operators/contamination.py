@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.functions import text as T
-from sparkloom.storage import materialize
+from sparkloom.storage import broadcast_if_small, materialize
 
 THRESHOLD, NGRAM = 0.70, 5
+#: N-grams of the evaluation side that may be broadcast; beyond, the join shuffles.
+BROADCAST_GRAMS = 1_000_000
 
 
 def prompts(df: DataFrame, id_col: str, text_col: str, n: int = NGRAM, exact: bool = False) -> DataFrame:
@@ -17,20 +19,26 @@ def prompts(df: DataFrame, id_col: str, text_col: str, n: int = NGRAM, exact: bo
     return norm.withColumn("grams", T.prompt_ngrams(F.col("norm"), n))
 
 
-def similar(left: DataFrame, right: DataFrame, threshold: float = THRESHOLD, measure: str = "jaccard") -> DataFrame:
+def similar(left: DataFrame, right: DataFrame, threshold: float = THRESHOLD, measure: str = "jaccard", empty: bool = True) -> DataFrame:
     """(left_id, right_id, shared, score) of all pairs from the threshold on; both: outputs of prompts().
 
-    An inverted index on n-grams forms only pairs that share one. Two prompts without any n-gram are
-    alike (score 1). measure: jaccard, or containment of the right in the left.
+    An inverted index on hashed n-grams forms only pairs that share one; the right side's grams are broadcast
+    where they are few, so that the left side's are dropped where they lie. measure: jaccard, or containment
+    of the right in the left. Two prompts without any n-gram are alike (score 1), unless empty is false.
     """
-    a = materialize(left.select(F.col("id").alias("left_id"), F.size("grams").alias("left_n"), "grams"), "left-grams")
-    b = materialize(right.select(F.col("id").alias("right_id"), F.size("grams").alias("right_n"), "grams"), "right-grams")
-    pairs = a.select("left_id", "left_n", F.explode("grams").alias("g")).join(b.select("right_id", "right_n", F.explode("grams").alias("g")), "g")
+    hashed = F.transform("grams", lambda g: F.xxhash64(g))
+    a = left.select(F.col("id").alias("left_id"), "norm", F.size("grams").alias("left_n"), hashed.alias("grams"))
+    b = materialize(right.select(F.col("id").alias("right_id"), F.col("norm").alias("right_norm"), F.size("grams").alias("right_n"), hashed.alias("grams")), "right-grams")
+    index = broadcast_if_small(b.select("right_id", "right_n", F.explode("grams").alias("g")), BROADCAST_GRAMS)
+    pairs = a.select("left_id", "left_n", F.explode("grams").alias("g")).join(index, "g")
     shared = pairs.groupBy("left_id", "right_id", "left_n", "right_n").agg(F.count(F.lit(1)).alias("shared"))
     score = F.col("shared") / (F.col("left_n") + F.col("right_n") - F.col("shared") if measure == "jaccard" else F.col("right_n"))
     found = shared.select("left_id", "right_id", "shared", score.alias("score")).where(F.col("score") >= threshold)
-    empty = a.where("left_n = 0").select("left_id").join(b.where("right_n = 0").select("right_id"), F.lit(True))
-    return found.union(empty.select("left_id", "right_id", F.lit(0).cast("bigint"), F.lit(1.0)))
+    if not empty or b.where("right_n = 0").isEmpty():
+        return found
+    # Prompts without an n-gram have no word, so they are all the same text.
+    blank = a.where("left_n = 0").join(b.where("right_n = 0").select("right_id", "right_norm"), F.col("norm") == F.col("right_norm"))
+    return found.union(blank.select("left_id", "right_id", F.lit(0).cast("bigint"), F.lit(1.0)))
 
 
 def report(candidates: DataFrame, tasks: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -43,7 +51,8 @@ def report(candidates: DataFrame, tasks: DataFrame, threshold: float = THRESHOLD
     by_name = candidates.join(names, "template_id", "left_semi").select("id", F.lit(2).alias("k"))
     a, b = prompts(candidates, "id", "prompt"), prompts(tasks, "id", "prompt")
     by_hash = a.withColumn("h", F.sha2("norm", 256)).join(b.select(F.sha2("norm", 256).alias("h")).distinct(), "h", "left_semi").select("id", F.lit(3).alias("k"))
-    near = similar(a, b, threshold).select(F.col("left_id").alias("id"), F.lit(4).alias("k")).distinct()
+    # Prompts without an n-gram are found by their hash already.
+    near = similar(a, b, threshold, empty=False).select(F.col("left_id").alias("id"), F.lit(4).alias("k")).distinct()
     names = F.create_map(*[F.lit(x) for p in enumerate(("id", "template", "prompt_hash", "similarity"), 1) for x in p])
     return by_id.union(by_name).union(by_hash).union(near).groupBy("id").agg(F.min("k").alias("k")).select("id", F.element_at(names, F.col("k")).alias("reason"))
 

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sparkloom.functions import text as T
+from sparkloom.operators import raw
 from sparkloom.operators.sandbox import SandboxLimits, run_tests
 from sparkloom.storage import materialize
 
-Shares = dict[str, float]
-
 METRICS = ("functional_pass", "contract_pass", "format_valid", "timeout", "truncated", "test_fraction", "repetition", "generated_tokens", "ended_with_eos")
 #: Points that ratings need in total and per criterion, and the sizes of the two sets.
 MIN_TOTAL, MIN_CORRECT, MIN_FOLLOW, MIN_EXPLAIN = 84, 37, 29, 17
@@ -39,6 +40,38 @@ def missing(evaluated: DataFrame, tasks: DataFrame, key: str = "id") -> DataFram
     return owed.join(evaluated.select("checkpoint", key), ["checkpoint", key], "left_anti")
 
 
+def test_list(task: Column, *keys: str) -> Column:
+    """The tests of a task (a variant): of the first key that it or, where it has none, its `evaluation` has.
+
+    One text is a list of one; of objects their code or test counts; blank ones are left out.
+    """
+    own = raw.fields(task)
+    inner = raw.fields(F.try_element_at(own, F.lit("evaluation")))
+    there = lambda fields: F.coalesce(*[F.try_element_at(fields, F.lit(k)) for k in keys])
+    found = there(own)
+    found = F.when(found.isNull() | raw.is_kind(found, "VOID"), there(inner)).otherwise(found)
+    listed = F.when(raw.is_kind(found, "STRING"), F.array(found)).otherwise(raw.items(found))
+
+    def code(v: Column) -> Column:
+        part = raw.first(raw.fields(v), ("code", "test"))
+        return F.when(raw.is_kind(v, "STRING"), raw.shown(v)).when(raw.is_kind(part, "STRING"), raw.shown(part))
+
+    tests = F.filter(F.transform(listed, lambda v: T.strip(code(v))), lambda t: t.isNotNull() & (t != ""))
+    return F.coalesce(tests, F.array().cast("array<string>"))
+
+
+def parse_losses(given: list[str]) -> dict[str, float]:
+    """Losses of checkpoints from arguments like name=0.5; the last = parts them, and a loss is a number from 0 on."""
+    out = {}
+    for argument in given:
+        name, sign, value = argument.rpartition("=")
+        loss = float(value) if sign and name else math.nan
+        if not 0 <= loss < math.inf:
+            raise ValueError(f"{argument!r} is no CHECKPOINT=LOSS")
+        out[name] = loss
+    return out
+
+
 def evaluate(predictions: DataFrame, tasks: DataFrame, limits: SandboxLimits = SandboxLimits(), partitions: int = 0) -> DataFrame:
     """One row of metrics per prediction (checkpoint, id, response, truncated, finish_reason, generated_tokens, max_new_tokens, ended_with_eos).
 
@@ -82,19 +115,19 @@ def aggregate(evaluated: DataFrame, metrics: tuple[str, ...] = METRICS) -> DataF
     return cubed.agg(F.count(F.lit(1)).alias("tasks"), *[F.avg(F.col(m).cast("double")).alias(m) for m in metrics])
 
 
-def weighted_score(gains: Shares, costs: Shares) -> Column:
+def weighted_score(weights: dict[str, float], penalties: dict[str, float]) -> Column:
     """Weighted sum less penalties; null where a metric is missing."""
     out = F.lit(0.0)
-    for name, w in gains.items():
+    for name, w in weights.items():
         out = out + F.col(name) * F.lit(w)
-    for name, w in costs.items():
+    for name, w in penalties.items():
         out = out - F.col(name) * F.lit(w)
     return out
 
 
-def rank_by_score(reports: DataFrame, gains: Shares, costs: Shares) -> DataFrame:
+def rank_by_score(reports: DataFrame, weights: dict[str, float], penalties: dict[str, float]) -> DataFrame:
     """Reports with score and place, best first, ties by checkpoint; raises where a metric is missing."""
-    scored = reports.withColumn("score", weighted_score(gains, costs))
+    scored = reports.withColumn("score", weighted_score(weights, penalties))
     bad = scored.where("score is null").limit(1).collect()
     if bad:
         raise ValueError(f"checkpoint {bad[0]['checkpoint']} lacks a metric")
@@ -180,6 +213,17 @@ def rating_template(blinded: DataFrame, item: str = "id") -> DataFrame:
     return blinded.groupBy(item).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("label", empty.alias("s"))))).alias("scores"))
 
 
+def rubric(blinded: DataFrame, item: str = "id", title: str = "title", prompt: str = "prompt", answer: str = "answer") -> DataFrame:
+    """(item, markdown): the sheet on which each item is rated, its answers under their labels and a table to fill in."""
+    parts = F.array_sort(F.collect_list(F.struct("label", F.col(answer).alias("answer"))))
+    own = blinded.groupBy(item).agg(F.min(title).alias("title"), F.min(prompt).alias("prompt"), parts.alias("parts"))
+    answers = F.array_join(F.transform("parts", lambda p: F.concat(F.lit("### Answer "), p["label"], F.lit("\n\n"), p["answer"], F.lit("\n\n"))), "")
+    lines = F.array_join(F.transform("parts", lambda p: F.concat(F.lit("| "), p["label"], F.lit(" |  |  |  |\n"))), "")
+    head = F.lit("| Answer | Correctness (0-5) | Instructions (0-5) | Explanation (0-5) |\n|---|---:|---:|---:|\n")
+    sheet = F.concat(F.lit("## "), "title", F.lit(" (`"), F.col(item).cast("string"), F.lit("`)\n\n### Prompt\n\n"), "prompt", F.lit("\n\n"), answers, head, lines)
+    return own.select(item, sheet.alias("markdown"))
+
+
 def packed_steps(tokens: Column, length: int, batch: int, accumulation: int, epochs: float) -> Column:
     """Optimizer steps over packed sequences."""
     sequences = F.ceil(tokens / length)

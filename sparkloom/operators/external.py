@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from sparkloom.functions import text as T
+from sparkloom.functions.fixed import LICENSES
 from sparkloom.functions.hashing import stable_hash
-from sparkloom.operators import contamination, messages
-from sparkloom.operators.manifest import LICENSES
+from sparkloom.operators import contamination, messages, mixing
+from sparkloom.operators.running import running
 from sparkloom.operators.sandbox import RUNNER, SandboxLimits, literal_list, run_tests
 
 CRITERIA = ("requirement_conformance", "logical_correctness", "edge_case_consideration")
@@ -64,8 +64,8 @@ def published(rows: DataFrame, tasks: DataFrame, target: int, source: str, revis
     made = candidate_columns(parsed.drop("id"), source, revision, license_, "corrective_published", "local_public_tests")
     near = contamination.report(made.where("reject_reason is null").select(F.col("source_id").alias("id"), F.lit(None).cast("string").alias("template_id"), "prompt"), tasks).select(F.col("id").alias("c_id"), F.concat(F.lit("contaminated_"), "reason").alias("found"))
     made = made.join(near, F.col("source_id") == F.col("c_id"), "left").withColumn("reject_reason", F.coalesce("reject_reason", F.when(F.col("num_tokens") > most_tokens, "too_long"), "found")).drop("c_id", "found")
-    before = F.coalesce(F.sum(F.when(F.col("reject_reason").isNull(), F.col("num_tokens")).otherwise(0)).over(Window.orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    made = made.withColumn("before", before).withColumn("reject_reason", F.when(F.col("before") >= target, "not_needed").otherwise(F.col("reject_reason"))).drop("before")
+    made = made.withColumn("_own", F.when(F.col("reject_reason").isNull(), F.col("num_tokens")).otherwise(0)).withColumn("_all", F.lit(0))
+    made = running(made, "_own", "seq", "_all").withColumn("reject_reason", F.when(F.col("_before") >= target, "not_needed").otherwise(F.col("reject_reason")))
     return made.select("seq", "id", F.concat_ws(":", "source", "source_id").alias("group_id"), "source", "source_id", "source_revision", "source_sha256", "revision_sha256", "license", "category", "reasoning_band", "verification_level", F.col("reject_reason").isNull().alias("verified"), F.lit(RUNNER).alias("runner_version"), F.sha2("code", 256).alias("code_sha256"), F.sha2("test", 256).alias("tests_sha256"), "num_tokens", "fingerprint", "near_fingerprint", "messages", "reject_reason")
 
 
@@ -87,8 +87,7 @@ def replay(rows: DataFrame, licenses: dict[str, str], revision: str, most_tokens
 def sample_until(rows: DataFrame, target: int, seed: int = 42) -> DataFrame:
     """Rows in hash order until the target is reached; raises if they don't reach it."""
     order = stable_hash(F.lit(seed), F.lit("replay"), F.col("id"))
-    before = F.coalesce(F.sum("num_tokens").over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    kept = rows.withColumn("_before", before).where(F.col("_before") < target).drop("_before")
+    kept = mixing.take_until(rows, target, order)
     got = kept.agg(F.coalesce(F.sum("num_tokens"), F.lit(0))).first()[0]
     if got < target:
         raise ValueError(f"rows hold {got} of {target} tokens")

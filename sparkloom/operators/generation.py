@@ -7,12 +7,15 @@ explaining the function. Rows are a function of their number, so any partitionin
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sparkloom.functions import text as T
 from sparkloom.functions.hashing import hash_int, stable_hash
+from sparkloom.operators import messages, raw
 
 ARCHETYPES = ("write", "repair", "explain")
 LANGUAGES = ("en",) * 7 + ("es",) * 3
@@ -89,3 +92,30 @@ def evaluation_tasks(spark: SparkSession) -> DataFrame:
     rows = catalogue(spark).select("*", F.posexplode(F.array(*map(F.lit, EVALUATION_NAMES))).alias("i", "label"))
     name = F.concat_ws("_", F.lit("solve"), "family", "label")
     return rows.select(F.concat_ws("/", F.lit("eval"), "family", "label").alias("id"), "family", F.concat_ws("/", F.lit("template"), "family", "label").alias("template_id"), F.when(F.col("i") == 0, "dev").otherwise("hidden").alias("split"), F.concat(F.lit("Please implement "), name, F.lit(": it "), "task", F.lit(".")).alias("prompt"), name.alias("name"), named(F.slice("tests", 1, 1), name).alias("public_tests"), named(F.col("tests"), name).alias("hidden_tests"))
+
+
+def task_messages(task: Column) -> Column:
+    """The messages that a task (a variant) is asked with: its own, or its system text and prompt; null where it has neither."""
+    own = raw.fields(task)
+    at = lambda k: F.try_element_at(own, F.lit(k))
+    given = F.transform(raw.items(at("messages")), lambda m: raw.message(raw.fields(m)))
+    said = lambda k: F.when(raw.is_kind(at(k), "STRING"), F.when(T.strip(raw.shown(at(k))) != "", raw.shown(at(k))))
+    system, prompt = said("system"), said("prompt")
+    flat = F.filter(F.array(F.when(system.isNotNull(), messages.message("system", system)), messages.message("user", prompt)), lambda m: m.isNotNull())
+    return F.when(F.size(given) > 0, given).when(prompt.isNotNull(), flat)
+
+
+# How answers are generated.
+DIRECT_TOKENS, THINKING_TOKENS, TOP_K = 512, 2048, 20
+SAMPLING = {"thinking": {"temperature": 0.6, "top_p": 0.95}, "direct": {"temperature": 0.7, "top_p": 0.8}}
+
+
+def generation_policy(decoding: str, mode: str | None = None, max_new_tokens: int | None = None) -> tuple[str, dict[str, Any]]:
+    """The mode and the settings of a generation; deterministic decoding admits the direct mode and its length alone."""
+    fixed = decoding == "deterministic"
+    mode = mode or ("direct" if fixed else "thinking")
+    length = (DIRECT_TOKENS if fixed else THINKING_TOKENS) if max_new_tokens is None else max_new_tokens
+    if length <= 0 or fixed and (mode, length) != ("direct", DIRECT_TOKENS):
+        raise ValueError(f"{decoding} decoding admits no {mode} mode with {length} tokens")
+    how = {"do_sample": False, "num_beams": 1, "use_cache": True} if fixed else {"do_sample": True, "top_k": TOP_K, **SAMPLING[mode]}
+    return mode, how | {"max_new_tokens": length}

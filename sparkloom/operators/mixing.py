@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from sparkloom.functions.hashing import stable_hash
 from sparkloom.operators.dedup import dedup_two_keys, group_cap
+from sparkloom.operators.running import within_reach
 from sparkloom.storage import materialize
 
 Cell = tuple[str, str]
@@ -21,10 +22,11 @@ def hash_order(seed: int, namespace: str | Column, key: str = "id") -> Column:
     return stable_hash(F.lit(seed), namespace if isinstance(namespace, Column) else F.lit(namespace), F.col(key))
 
 
-def take_until(df: DataFrame, budget: int, order: Column | str, tokens: str = "num_tokens") -> DataFrame:
-    """Rows in order while the tokens before them are below the budget."""
+def take_until(df: DataFrame, budget: int, order: Column, tokens: str = "num_tokens") -> DataFrame:
+    """Rows in the order of a hash while the tokens before them are below the budget; only what the budget can reach is sorted."""
+    near = within_reach(df, order, tokens, budget)
     before = F.coalesce(F.sum(tokens).over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return df.withColumn("_before", before).where(F.col("_before") < budget).drop("_before")
+    return near.withColumn("_before", before).where(F.col("_before") < budget).drop("_before")
 
 
 def allocate(available: dict[Cell, int], row_targets: dict[str, int], column_targets: dict[str, int]) -> tuple[dict[Cell, int], int]:
@@ -115,17 +117,18 @@ def plan_mix(cells: dict[Cell, list[int]], budget: int, row_weights: dict[str, f
 def mix_by_tokens(df: DataFrame, budget: int, row_weights: dict[str, float], column_weights: dict[str, float], seed: int = 42, most_per_group: int = 0) -> tuple[DataFrame, Plan]:
     """The selected rows of candidates (id, seq, group_id, category, reasoning_band, num_tokens, fingerprint, near_fingerprint) and the plan.
 
-    Only (cell, rank, running tokens) leaves the cluster, and of that only what the budget can reach:
-    a cell's rank list ends where its tokens pass the budget.
+    Only what the budget can reach is ranked: a cell's list ends where its tokens pass the budget. Of that, (cell,
+    rank, tokens) goes to the driver: at most the cells' number times the rows that hold a budget of tokens.
     """
     one = dedup_two_keys(df)
     one = group_cap(one, "group_id", most_per_group, hash_order(seed, "group-limit"))
-    place = Window.partitionBy("category", "reasoning_band").orderBy(hash_order(seed, F.concat_ws(":", "category", "reasoning_band")))
-    narrow = one.select("id", "category", "reasoning_band", "num_tokens")
+    place = Window.partitionBy("category", "reasoning_band").orderBy("h")
+    known = F.col("category").isin(*row_weights) & F.col("reasoning_band").isin(*column_weights)
+    narrow = one.where(known).select("id", "category", "reasoning_band", "num_tokens", hash_order(seed, F.concat_ws(":", "category", "reasoning_band")).alias("h"))
+    narrow = within_reach(materialize(narrow, "mix-keys"), F.col("h"), "num_tokens", budget, "category", "reasoning_band")
     ranked = narrow.withColumn("rank", F.row_number().over(place)).withColumn("before", F.coalesce(F.sum("num_tokens").over(place.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     ranked = materialize(ranked, "mix-ranks")
-    known = F.col("category").isin(*row_weights) & F.col("reasoning_band").isin(*column_weights)
-    near = ranked.where(known & (F.col("before") < budget)).select("category", "reasoning_band", "rank", "num_tokens")
+    near = ranked.where(F.col("before") < budget).select("category", "reasoning_band", "rank", "num_tokens")
     cells: dict[Cell, list[int]] = {}
     for r in near.orderBy("category", "reasoning_band", "rank").toLocalIterator():
         cells.setdefault((r["category"], r["reasoning_band"]), []).append(r["num_tokens"])

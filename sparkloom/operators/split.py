@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sparkloom.functions.hashing import hash_int, stable_hash
+from sparkloom.operators.running import within_reach
 from sparkloom.storage import materialize
 
 
@@ -33,7 +34,7 @@ def split_by_group(df: DataFrame, fraction: float, seed: int = 42, at_least: int
     need = goal - total["v"]
     if need > 0 and total["t"] > 1:
         order = Window.orderBy("h", "g").rowsBetween(Window.unboundedPreceding, -1)
-        moved = sizes.where("not val").withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0))).withColumn("k", F.row_number().over(Window.orderBy("h", "g")))
+        moved = within_reach(sizes.where("not val"), F.col("h"), "n", need).withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0))).withColumn("k", F.row_number().over(Window.orderBy("h", "g")))
         chosen = chosen.union(moved.where((F.col("before") < need) & (F.col("k") < total["t"])).select("g"))
     elif total["t"] == 0 and total["n"]:
         back = sizes.orderBy("h", "g").limit(1).select("g")

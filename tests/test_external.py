@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.operators import evaluation, external, messages, quality
 
-CODE = "Words.\n```python\ndef f(x):\n    return 1 + x\n```"
+CODE = "Words.\n```python\ndef f(x):\n    return x + 1\n```"
 GOOD = {"average_test_score": 1.0, "tests_execution_status": "['pass', 'Pass']", "unit_tests": "['assert f(1) == 2', 'assert f(0) == 1']", "llm_judgement": json.dumps({c: {"score": 5, "justification": "it adds ```x``` one"} for c in external.CRITERIA}), "input": "Add one to a number.", "output": CODE}
 
 
@@ -33,7 +33,7 @@ def test_replay(spark):
     say = lambda *t: [dict(role=r, content=c) for r, c in t]
     rows = [("a", "s", "MIT", None, say(("user", "q"), ("assistant", "<think>x</think>yes"))), ("b", "s", None, "g", say(("user", "q"), ("assistant", "<think>x"))), ("c", "known", None, None, say(("user", "q"), ("assistant", "a"))), ("d", "s", "proprietary", None, say(("user", "q"), ("assistant", "a"))), ("e", "s", "mit", None, say(("assistant", "a")))]
     df = spark.createDataFrame(rows, f"id string, source string, license string, group_id string, messages {messages.MESSAGES}")
-    got = {r["source_id"]: r for r in external.replay(df, {"known": "cc0-1.0"}, "v").collect()}
+    got = {r["source_id"]: r for r in external.replay(df, {"known": "cc-by-4.0"}, "v").collect()}
     assert {k: r["reject_reason"] for k, r in got.items()} == {"a": None, "b": "license", "c": None, "d": "license", "e": "missing_user"}
     assert got["a"]["messages"][1]["content"] == "yes" and got["a"]["group_id"] == "replay:a"
 

@@ -1,5 +1,6 @@
 """Operators on small inputs, against plain Python where the order of rows decides."""
 
+import json
 import random
 
 import pytest
@@ -7,7 +8,8 @@ from pyspark.sql import functions as F
 
 from sparkloom.functions import hashing as H
 from sparkloom.functions import text as T
-from sparkloom.operators import contamination, dedup, evaluation, messages, mixing, quality, sandbox, split
+from sparkloom.plans import config, prepare
+from sparkloom.operators import contamination, dedup, evaluation, generation, messages, mixing, quality, raw, running, sandbox, split
 
 
 def one(spark, column, **values):
@@ -33,6 +35,41 @@ def test_two_key_dedup_equals_a_scan(spark, seed):
     assert sorted(r["seq"] for r in dedup.dedup_two_keys(df).collect()) == want
 
 
+@pytest.mark.parametrize("scan", [0, 20, 200_000])
+def test_two_key_dedup_takes_null_keys_and_chains(spark, scan, monkeypatch):
+    monkeypatch.setattr(dedup, "SCAN_ROWS", scan)
+    rows = [(1, "a", "x"), (2, "a", "y"), (3, None, None), (4, None, None), (5, "b", None), (6, None, "b"), (7, "c", "z")]
+    rows += [(100 + k, f"f{(k + 1) // 2}", f"n{k // 2}") for k in range(40)]
+    rng = random.Random(9)
+    rows += [(1000 + k, rng.choice([None, "p", "q", "r"]), rng.choice([None, "s", "t", "u"])) for k in range(40)]
+    seen_a, seen_b, want = set(), set(), []
+    for i, a, b in rows:
+        a, b = str(a), str(b if b is not None else a)
+        if a not in seen_a and b not in seen_b:
+            want.append(i)
+            seen_a.add(a)
+            seen_b.add(b)
+    df = spark.createDataFrame(rows, "seq long, fingerprint string, near_fingerprint string")
+    assert sorted(r["seq"] for r in dedup.dedup_two_keys(df).collect()) == want
+
+
+def test_running_sums_and_takes_equal_a_plain_scan(spark):
+    rng = random.Random(6)
+    rows = [(i, rng.choice(["a", "a", "a", "b", None]), rng.randrange(1, 30)) for i in range(500)]
+    df = spark.createDataFrame(rows, "seq long, source string, tokens long").repartition(7)
+    got = {r["seq"]: r["_before"] for r in running.running(df, "tokens", "seq", "source").collect()}
+    assert got == {i: sum(t for j, s, t in rows if s == source and j < i) for i, source, _ in rows}
+    order = mixing.hash_order(1, "x", "seq")
+    for budget in (0, 1, 100, 3000, 10**6):
+        want, held = [], 0
+        for r in df.withColumn("h", order).orderBy("h").collect():
+            if held < budget:
+                want.append(r["seq"])
+            held += r["tokens"]
+        assert sorted(r["seq"] for r in mixing.take_until(df, budget, order, "tokens").collect()) == sorted(want)
+    assert dedup.source_stop(df.limit(0), 10).count() == 0
+
+
 def test_later_row_stays_where_its_rival_fell(spark):
     df = spark.createDataFrame([(0, "f1", "n1"), (1, "f2", "n1"), (2, "f2", "n2")], "seq long, fingerprint string, near_fingerprint string")
     assert sorted(r["seq"] for r in dedup.dedup_two_keys(df).collect()) == [0, 2]
@@ -144,8 +181,8 @@ def test_text_expressions(spark):
 
 def test_fences(spark):
     block = lambda t: one(spark, T.explained_block(F.col("v")), v=t)
-    good = block("Here it is:\n```python\ny = 1 + 1\n```")
-    assert good["valid"] and good["code"] == "y = 1 + 1" and good["explanation"] == "Here it is:"
+    good = block("Here it is:\n```python\nx = 1\n```")
+    assert good["valid"] and good["code"] == "x = 1" and good["explanation"] == "Here it is:"
     assert block("```py\nx\n```")["reason"] == "missing_explanation" and block("a ```python\n\n``` b")["reason"] == "empty_code"
     assert block("no code")["reason"] == "fence_count" and block("a ```py\nx\n``` ```")["reason"] == "fence_count"
     assert one(spark, T.only_block(F.col("v")), v="```python\nx\n```") == "x\n" and one(spark, T.only_block(F.col("v")), v="```js\nx\n```") is None
@@ -191,6 +228,76 @@ def test_sandbox_statuses(spark):
     assert run("for i in range(5000):\n    print('x' * 100)", "pass", output_bytes=1000) in ("output_limit", "failed")
 
 
+def test_sandbox_bans_calls_not_names():
+    for fine in ("x = dir", "def f(a):\n    def g():\n        nonlocal a\n        a = 1\n    return a", "open = 3", "y.open(1)", "y.eval"):
+        sandbox.check_source(fine)
+    for bad in ("import os", "from os import path", "class A:\n    pass", "async def f():\n    pass", "with x:\n    pass", "global x", "a.__class__", "__name__", "eval('1')", "vars()", "__import__('os')", "x ="):
+        with pytest.raises(sandbox.SandboxViolation):
+            sandbox.check_source(bad)
+    assert sandbox.limits_report()["wall_s"] == 3.0
+
+
+def test_repeats_are_counted_exactly(spark):
+    gram = "a b c d e f g h "
+    for n in (6, 7, 8):
+        assert one(spark, quality.repeated_ngram(F.col("v")), v="x ".join([gram] * n)) == (n > 6)
+    for n in (3, 4):
+        assert one(spark, quality.repeated_lines(F.col("v")), v="\n".join(["The same long line."] * n + ["another line here"])) == (n > 3)
+    assert not one(spark, quality.repeated_ngram(F.col("v")), v="") and not one(spark, quality.repeated_lines(F.col("v")), v="")
+
+
+def variants(spark, column, *values):
+    rows = spark.createDataFrame([(k, json.dumps(v)) for k, v in enumerate(values)], "k int, j string").select("k", F.parse_json("j").alias("v"))
+    return [r["out"] for r in rows.select("k", column.alias("out")).orderBy("k").collect()]
+
+
+def test_task_lists_and_messages(spark):
+    tests = evaluation.test_list(F.col("v"), "hidden_tests", "tests_hidden")
+    assert variants(
+        spark, tests, {"hidden_tests": " a "}, {"tests_hidden": ["a", " ", 3, {"code": "b"}, {"test": "c "}, {"code": 1}]},
+        {"evaluation": {"hidden_tests": ["x"]}}, {"hidden_tests": None, "evaluation": {"hidden_tests": "y"}}, {}, {"hidden_tests": 5},
+    ) == [["a"], ["a", "b", "c"], ["x"], ["y"], [], []]
+    asked = variants(
+        spark, generation.task_messages(F.col("v")), {"prompt": "p", "system": "s"}, {"messages": [{"role": "user", "content": "u"}], "prompt": "p"},
+        {"prompt": " "}, {"prompt": "p", "system": " ", "messages": []},
+    )
+    assert [m and [tuple(x) for x in m] for m in asked] == [[("system", "s"), ("user", "p")], [("user", "u")], None, [("user", "p")]]
+
+
+def test_losses_and_policies():
+    assert evaluation.parse_losses(["a=b=0.5", "c=0"]) == {"a=b": 0.5, "c": 0.0}
+    for bad in ("a", "=1", "a=-1", "a=nan", "a=inf", "a=x"):
+        with pytest.raises(ValueError):
+            evaluation.parse_losses([bad])
+    assert generation.generation_policy("deterministic") == ("direct", {"do_sample": False, "num_beams": 1, "use_cache": True, "max_new_tokens": 512})
+    assert generation.generation_policy("sampled")[1] == {"do_sample": True, "temperature": 0.6, "top_p": 0.95, "top_k": 20, "max_new_tokens": 2048}
+    for bad in (("deterministic", "thinking", None), ("deterministic", None, 100), ("sampled", None, 0)):
+        with pytest.raises(ValueError):
+            generation.generation_policy(*bad)
+
+
+def test_rubric_lists_answers_by_label(spark):
+    rows = spark.createDataFrame([("i", "T", "P", "B", "second"), ("i", "T", "P", "A", "first")], "id string, title string, prompt string, label string, answer string")
+    sheet = evaluation.rubric(rows).first()["markdown"]
+    assert sheet.index("first") < sheet.index("second") and "| A |" in sheet and "`i`" in sheet
+
+
+def test_raw_rows(spark):
+    rows = [{"id": "h", "instance_id": "no", "input": "q", "output": "a", "diff": " "}, {"input": "q", "output": "a", "has_empty_response": True}, {"input": "q", "output": "a", "gitdiff": "x"}, {"input": [], "output": "a"}]
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(rows)] + [(8, "[1]"), (9, None)], "row_index long, raw string")
+    made = raw.from_raw(df, {"name": "s", "category": "c", "require_patch": True, "reject_empty_response": True})
+    made = raw.mark_holdout(made, spark.createDataFrame([("no",), ("x",)], "id string"))
+    got = {r["row_index"]: r for r in made.collect()}
+    assert [got[k]["holdout"] for k in (0, 1, 2, 3, 8, 9)] == [True] + [False] * 5 and got[1]["empty_response"] and not got[0]["empty_response"]
+    assert got[8]["messages"] == [] and got[9]["messages"] == [] and got[9]["source_id"] == "9"
+    settings = config.DATA_DEFAULTS | {"max_seq_length": 100, "min_tokens": 1}
+    reasons = {r["row_index"]: r["reject_reason"] for r in prepare.build_candidates(made, settings).collect()}
+    assert reasons == {0: "evaluation_holdout", 1: "empty_response", 2: None, 3: "missing_user", 8: "missing_messages", 9: "missing_messages"}
+    counter = messages.counter_of(lambda ms: sum(len(m["content"]) for m in ms), len)
+    rows = prepare.build_candidates(made, settings | {"min_tokens": 30}, counter=counter).where("row_index = 2").collect()
+    assert rows[0]["num_tokens"] == len(messages.SYSTEM) + 2 and rows[0]["source_id"] == "2" and rows[0]["group_id"] == "s:default:train:2"
+
+
 def evaluations(spark):
     rows = [(c, f"f{i % 11}", c != "base", True, True, False, False, 1.0, 0.0, 5, True) for c in ("cand", "base") for i in range(33)]
     return spark.createDataFrame(rows, "checkpoint string, family string, functional_pass boolean, contract_pass boolean, format_valid boolean, timeout boolean, truncated boolean, test_fraction double, repetition double, generated_tokens long, ended_with_eos boolean")
@@ -211,7 +318,7 @@ def test_evaluation_and_promotion(spark):
 def test_ranking_and_checks(spark):
     rows = spark.createDataFrame([("a", 0.5, 1.0, 1.0, 0.0, 0.0), ("b", 0.5, 1.0, 1.0, 0.0, 0.0), ("c", 0.9, 0.0, 0.0, 1.0, 1.0)], "checkpoint string, functional_pass double, contract_pass double, format_valid double, timeout double, truncated double")
     losses = spark.createDataFrame([("b", 0.1)], "checkpoint string, eval_loss double")
-    assert [r["checkpoint"] for r in evaluation.rank_models(rows, losses).orderBy("place").collect()] == list("cba")
+    assert [r["checkpoint"] for r in evaluation.rank_models(rows, losses).orderBy("place").collect()] == ["c", "b", "a"]
     with pytest.raises(ValueError, match="lacks"):
         evaluation.rank_by_score(rows.withColumn("timeout", F.when(F.col("checkpoint") == "b", None).otherwise(F.col("timeout"))), {"functional_pass": 1.0}, {"timeout": 1.0})
     with pytest.raises(ValueError, match="duplicate"):

@@ -57,7 +57,14 @@ def test_prepare_fails_closed(spark, tmp_path):
     assert "token_budget" in got.failed
     with pytest.raises(prepare.GateError):
         prepare.write(got, str(tmp_path / "x"))
-    assert not (tmp_path / "x").exists()
+    assert [p.name for p in (tmp_path / "x").iterdir() if not p.name.startswith(".")] == ["dataset_report.json"]
+    good = prepare.prepare(grid(spark), RECIPE, "pilot")
+    prepare.write(good, str(tmp_path / "x"))
+    assert (tmp_path / "x" / "train").exists()
+    with pytest.raises(prepare.GateError):
+        prepare.write(got, str(tmp_path / "x"))
+    assert [p.name for p in (tmp_path / "x").iterdir() if not p.name.startswith(".")] == ["dataset_report.json"]
+    assert "token_budget" in json.loads((tmp_path / "x" / "dataset_report.json").read_text())["failed_gates"]
     assert "train_not_empty" in prepare.prepare(grid(spark, 40).limit(0), RECIPE, "pilot").failed
 
 
@@ -150,3 +157,49 @@ def test_online_forms(spark, data, tmp_path):
     spark.createDataFrame(rows, "source string, tokens long").coalesce(1).write.parquet(str(tmp_path / "q"))
     kept = online.run_once(spark, str(tmp_path / "q"), lambda s: online.running_quota(s, "source", "tokens", 35, "source string, tokens long"))
     assert {r["source"]: r["count"] for r in kept.groupBy("source").count().collect()} == {"x": 4, "y": 4}
+
+
+def test_sources_at_their_revision(spark, tmp_path):
+    (tmp_path / "lab" / "refs").mkdir(parents=True)
+    (tmp_path / "lab" / "refs" / "main").write_text("abc\n")
+    (tmp_path / "lab@abc").mkdir()
+    (tmp_path / "lab@abc" / "rows.jsonl").write_text("".join(f'{{"id": {k}}}\n' for k in range(50)))
+    got = jsonl.read_source(spark, str(tmp_path), {"name": "lab", "file": "rows.jsonl"}, rows=20).collect()
+    assert {r["row_index"]: json.loads(r["raw"])["id"] for r in got} == {k: k for k in range(20)}
+    assert {(r["requested_revision"], r["resolved_revision"]) for r in got} == {("main", "abc")}
+    spark.range(30).repartition(3).write.parquet(str(tmp_path / "tab@v2" / "default" / "train"))
+    got = jsonl.read_source(spark, str(tmp_path), {"name": "tab", "revision": "v2"}).collect()
+    assert sorted(r["row_index"] for r in got) == list(range(30)) and {json.loads(r["raw"])["id"] for r in got} == set(range(30))
+    (tmp_path / "lab@abc" / "rows.jsonl").write_text("[1]\n")
+    with pytest.raises(ValueError, match="rows.jsonl"):
+        jsonl.read_source(spark, str(tmp_path), {"name": "lab", "file": "rows.jsonl"})
+
+
+def test_known_categories_and_regression(spark, tmp_path):
+    rows = spark.createDataFrame([("a",), ("z",), (None,)], "category string")
+    kept, lost = jsonl.known_categories(rows, ["a", "b"])
+    assert kept.count() == 1 and lost == 2
+    with pytest.raises(ValueError):
+        jsonl.known_categories(rows, ["a"], strict=True)
+    (tmp_path / "r.json").write_text(json.dumps([{"id": str(k), "title": "t", "prompt": "p"} for k in range(13)]))
+    assert {r["template_id"] for r in jsonl.read_regression(spark, str(tmp_path / "r.json")).collect()} == {f"regression/{k}" for k in range(13)}
+    with pytest.raises(ValueError):
+        jsonl.read_regression(spark, str(tmp_path / "r.json"), 12)
+
+
+def test_corpus_gate_and_first_rows(spark):
+    good = {"mix": {"selected_tokens": 304_000, "max_category_deviation": 0.05}, "split": {"train_tokens": 304_000}}
+    assert prepare.corpus_gate(good) == 19
+    for part, key, value in (("mix", "selected_tokens", 303_999), ("mix", "max_category_deviation", 0.06), ("split", "train_tokens", 200_000)):
+        with pytest.raises(prepare.GateError):
+            prepare.corpus_gate(good | {part: good[part] | {key: value}})
+    assert [r["id"] for r in prepare.first_rows(spark.range(9), 3, "id").collect()] == [0, 1, 2] and prepare.first_rows(spark.range(9), None, "id").count() == 9
+
+
+def test_older_manifests_and_runs(spark, tmp_path):
+    entry = {"path": "p", "sha256": "s", "examples": 1, "tokens": 2}
+    assert manifest.candidate_artifact({"artifacts": {"candidates": entry}}) == entry
+    assert manifest.candidate_artifact({"candidates_path": "p", "candidates_sha256": "s", "candidate_examples": 1, "candidate_tokens": 2, "artifacts": {}}) == entry
+    (tmp_path / "f").write_bytes(b"abc")
+    run = manifest.run_manifest(spark, {"x": 1}, "late", {"train": str(tmp_path / "f"), "gone": str(tmp_path / "g"), "none": None})
+    assert run["data"]["train"]["sha256"].startswith("ba7816bf") and run["data"]["gone"]["sha256"] is None and run["packages"]["pyspark"]
