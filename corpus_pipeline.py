@@ -7,14 +7,12 @@ of documents.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.llm import decontam, line_dedup, mixing, quality, simhash
 from sparkloom.llm.common import table
-from sparkloom.storage import shared_dir
+from sparkloom.storage import scratch, table_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,9 +57,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written to the shared folder and read again."""
     docs = table(spark, sf_dir, "documents")
-    base = f"{shared_dir(spark)}/sparkloom/pipeline-{uuid.uuid4().hex}"
+    base = table_path(spark, "pipeline")
     for k, (name, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        out.write.parquet(f"{base}/{k}-{name}")
+        with scratch(spark):  # what a stage keeps aside goes once its result is written
+            stage(spark, docs, sf_dir).write.parquet(f"{base}/{k}-{name}")
         docs = spark.read.parquet(f"{base}/{k}-{name}")
     return docs
