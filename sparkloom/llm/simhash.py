@@ -39,7 +39,7 @@ SIMILARITY = 0.8
 WORDS = 8
 WIDE = tuple(f"w{k}" for k in range(WORDS))
 LARGEST_PIECE = 250_000
-#: Ids of near copies that may be broadcast; beyond, the join shuffles.
+#: Narrow rows (ids of near copies, members of proposed components) that may be broadcast; beyond, texts are shuffled.
 BROADCAST_IDS = 500_000
 #: Chance that one similar pair lies outside the radius of a proposal.
 MISS = 1e-9
@@ -391,6 +391,7 @@ def verified_links(docs: DataFrame, members: DataFrame, similarity: float, size:
     large = members.groupBy("root").agg(pieces.alias("pieces")).where("pieces > 1")
     dealt = members.join(F.broadcast(large), "root", "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
     dealt = dealt.withColumn("piece", F.pmod(F.xxhash64("text_hash"), F.col("pieces")).cast("int")).withColumnsRenamed({"id": "m_id", "text_hash": "m_hash"})
+    dealt = broadcast_if_small(materialize(dealt, "wide-pieces"), BROADCAST_IDS)
     rows = docs.join(dealt, (F.col("text_hash") == F.col("m_hash")) & F.col("id").eqNullSafe(F.col("m_id"))).select("root", "pieces", "piece", "node", "t")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
