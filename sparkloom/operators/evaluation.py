@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 from pyspark.sql.window import Window
 
 from sparkloom.functions import text as T
@@ -13,6 +14,8 @@ from sparkloom.operators import raw
 from sparkloom.operators.sandbox import SandboxLimits, run_tests
 from sparkloom.storage import materialize
 
+#: Checkpoints that one evaluation compares.
+MAX_CHECKPOINTS = 1000
 METRICS = ("functional_pass", "contract_pass", "format_valid", "timeout", "truncated", "test_fraction", "repetition", "generated_tokens", "ended_with_eos")
 #: Points that ratings need in total and per criterion, and the sizes of the two sets.
 MIN_TOTAL, MIN_CORRECT, MIN_FOLLOW, MIN_EXPLAIN = 84, 37, 29, 17
@@ -35,8 +38,12 @@ def match(predictions: DataFrame, tasks: DataFrame, key: str = "id") -> DataFram
 
 
 def missing(evaluated: DataFrame, tasks: DataFrame, key: str = "id") -> DataFrame:
-    """(checkpoint, key) without an evaluation: every checkpoint owes every task. Both dimensions are small."""
-    owed = evaluated.select("checkpoint").distinct().join(tasks.select(key).distinct(), F.lit(True))
+    """(checkpoint, key) without an evaluation: every checkpoint owes every task. Raises beyond MAX_CHECKPOINTS checkpoints."""
+    names = evaluated.select("checkpoint").distinct().limit(MAX_CHECKPOINTS + 1).collect()
+    if len(names) > MAX_CHECKPOINTS:
+        raise ValueError(f"more than {MAX_CHECKPOINTS} checkpoints")
+    every = F.array(*[F.lit(r["checkpoint"]) for r in names]).cast(ArrayType(evaluated.schema["checkpoint"].dataType))
+    owed = tasks.select(key).distinct().select(F.explode(every).alias("checkpoint"), key)
     return owed.join(evaluated.select("checkpoint", key), ["checkpoint", key], "left_anti")
 
 

@@ -82,6 +82,25 @@ def test_collection_interleaves_caps_and_duplicates(spark):
     assert got == {0: "accepted", 1: "group_limit", 2: "accepted", 3: "near_duplicate", 4: "group_limit", 5: "accepted", 6: "duplicate"}
 
 
+def test_collection_equals_a_plain_scan(spark):
+    rng = random.Random(8)
+    rows = [(i, rng.choice("abc"), i // 2, f"f{rng.randrange(60)}", f"n{rng.randrange(50)}", f"g{rng.randrange(9)}", rng.randrange(1, 20)) for i in range(400)]
+    exact, near, groups, taken, reading, want = set(), set(), {}, {}, {}, {}
+    for i, source, row, f, n, g, tokens in rows:
+        if reading.get(source) != row and taken.get(source, 0) >= 150:
+            want[i] = "not_read"
+            continue
+        reading[source] = row
+        want[i] = "duplicate" if f in exact else "near_duplicate" if n in near else "group_limit" if groups.get(g, 0) >= 4 else "accepted"
+        if want[i] == "accepted":
+            exact.add(f)
+            near.add(n)
+            groups[g] = groups.get(g, 0) + 1
+            taken[source] = taken.get(source, 0) + tokens
+    df = spark.createDataFrame(rows, "seq long, source string, row long, fp string, near string, grp string, tokens long")
+    assert {r["seq"]: r["outcome"] for r in dedup.collect_in_order(df, dict.fromkeys("abc", 150), 4).collect()} == want
+
+
 def test_allocation_solves_crossed_limits():
     used, total = mixing.allocate({("a", "x"): 10, ("a", "y"): 10, ("b", "x"): 10}, {"a": 10, "b": 10}, {"x": 10, "y": 10})
     assert total == 20 and used == {("a", "y"): 10, ("b", "x"): 10}
