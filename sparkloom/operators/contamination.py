@@ -13,31 +13,50 @@ THRESHOLD, NGRAM = 0.70, 5
 BROADCAST_GRAMS = 1_000_000
 
 
-def prompts(df: DataFrame, id_col: str, text_col: str, n: int = NGRAM, exact: bool = False) -> DataFrame:
-    """(id, norm, grams) of each prompt."""
-    norm = df.select(F.col(id_col).alias("id"), T.normalized_prompt(F.col(text_col), exact).alias("norm"))
-    return norm.withColumn("grams", T.prompt_ngrams(F.col("norm"), n))
+def prompts(df: DataFrame, id_col: str, text_col: str, exact: bool = False) -> DataFrame:
+    """(id, words, norm) of each prompt."""
+    words = df.select(F.col(id_col).alias("id"), T.prompt_words(F.col(text_col), exact).alias("words"))
+    return words.withColumn("norm", F.array_join("words", " "))
 
 
-def similar(left: DataFrame, right: DataFrame, threshold: float = THRESHOLD, measure: str = "jaccard", empty: bool = True) -> DataFrame:
+def gram_rows(left: DataFrame, n: int) -> DataFrame:
+    """(left_id, left_key, g) for each position of each prompt, repeats included; left_key tells texts of one id apart.
+
+    The generator keeps rows without a word, so that no filter on the words is inferred (it would be pushed below
+    them and tokenize every text again), and n-grams are hashed from the words where they lie, in compiled code.
+    """
+    at, size = F.col("i"), F.size("words")
+    a = left.select(F.col("id").alias("left_id"), F.xxhash64("words").alias("left_key"), "words")
+    rows = a.select("left_id", "left_key", "words", F.posexplode_outer("words").alias("i", "w")).where((at <= size - n) | ((at == 0) & (size < n)))
+    return rows.select("left_id", "left_key", T.gram_hash(F.col("words"), at, n).alias("g"))
+
+
+def similar(left: DataFrame, right: DataFrame, threshold: float = THRESHOLD, measure: str = "jaccard", empty: bool = True, n: int = NGRAM) -> DataFrame:
     """(left_id, right_id, shared, score) of all pairs from the threshold on; both: outputs of prompts().
 
     An inverted index on hashed n-grams forms only pairs that share one; the right side's grams are broadcast
     where they are few, so that the left side's are dropped where they lie. measure: jaccard, or containment
-    of the right in the left. Two prompts without any n-gram are alike (score 1), unless empty is false.
+    of the right in the left. Jaccard needs the left side's set sizes too: they are counted only for prompts that hold
+    the threshold's share of a right one, since no other pair can reach it. Two prompts without any n-gram are alike
+    (score 1), unless empty is false. Rows that share an id are compared one by one, equal rows of the left once.
     """
-    hashed = F.transform("grams", lambda g: F.xxhash64(g))
-    a = left.select(F.col("id").alias("left_id"), "norm", F.size("grams").alias("left_n"), hashed.alias("grams"))
-    b = materialize(right.select(F.col("id").alias("right_id"), F.col("norm").alias("right_norm"), F.size("grams").alias("right_n"), hashed.alias("grams")), "right-grams")
-    index = broadcast_if_small(b.select("right_id", "right_n", F.explode("grams").alias("g")), BROADCAST_GRAMS)
-    pairs = a.select("left_id", "left_n", F.explode("grams").alias("g")).join(index, "g")
-    shared = pairs.groupBy("left_id", "right_id", "left_n", "right_n").agg(F.count(F.lit(1)).alias("shared"))
-    score = F.col("shared") / (F.col("left_n") + F.col("right_n") - F.col("shared") if measure == "jaccard" else F.col("right_n"))
-    found = shared.select("left_id", "right_id", "shared", score.alias("score")).where(F.col("score") >= threshold)
+    keyed = right.select(F.monotonically_increasing_id().alias("right_key"), F.col("id").alias("right_id"), F.col("norm").alias("right_norm"), T.prompt_gram_hashes(F.col("words"), n).alias("grams"))
+    b = materialize(keyed.withColumn("right_n", F.size("grams")), "right-grams")
+    index = broadcast_if_small(b.select("right_key", "right_id", "right_n", F.explode("grams").alias("g")), BROADCAST_GRAMS)
+    shared = gram_rows(left, n).join(index, "g").groupBy("left_id", "left_key", "right_key", "right_id", "right_n").agg(F.count_distinct("g").alias("shared"))
+    found = shared.withColumn("score", F.col("shared") / F.col("right_n")).where(F.col("score") >= threshold)
+    if measure == "jaccard":
+        found = materialize(found, "shared-grams")
+        held = broadcast_if_small(found.select(F.col("left_id").alias("id")).distinct(), BROADCAST_GRAMS)
+        # Written, as the join would infer a filter on the sizes, below the semi-join and so over all texts.
+        sizes = materialize(left.join(held, "id", "left_semi").select(F.col("id").alias("left_id"), F.xxhash64("words").alias("left_key"), F.size(T.prompt_gram_hashes(F.col("words"), n)).alias("left_n")).distinct(), "left-sizes")
+        score = F.col("shared") / (F.col("left_n") + F.col("right_n") - F.col("shared"))
+        found = found.join(sizes, ["left_id", "left_key"]).withColumn("score", score).where(F.col("score") >= threshold)
+    found = found.select("left_id", "right_id", "shared", "score")
     if not empty or b.where("right_n = 0").isEmpty():
         return found
     # Prompts without an n-gram have no word, so they are all the same text.
-    blank = a.where("left_n = 0").join(b.where("right_n = 0").select("right_id", "right_norm"), F.col("norm") == F.col("right_norm"))
+    blank = left.where(F.size("words") == 0).select(F.col("id").alias("left_id"), "norm").join(b.where("right_n = 0").select("right_id", "right_norm"), F.col("norm") == F.col("right_norm"))
     return found.union(blank.select("left_id", "right_id", F.lit(0).cast("bigint"), F.lit(1.0)))
 
 

@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -238,6 +239,45 @@ def test_contamination_branches(spark):
     contamination.require_clean(cand.where("id = 'c5'"), tasks)
 
 
+def plain_similar(left, right, threshold, measure):
+    """(position left, position right): shared, score; of (id, text), by sets of tuples."""
+    sets = lambda rows: [(w := re.findall(r"\w+", t.lower())) and {tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} for _, t in rows]
+    out = []
+    for (x, _), a in zip(left, sets(left)):
+        for (y, _), b in zip(right, sets(right)):
+            n = len(set(a) & set(b))
+            score = n / ((len(set(a) | set(b))) if measure == "jaccard" else len(b)) if n else float(not a and not b)
+            if score >= threshold:
+                out.append((x, y, n, round(score, 9)))
+    return sorted(out)
+
+
+def prompt_rows(spark, rows):
+    return contamination.prompts(spark.createDataFrame(rows, "id long, text string"), "id", "text")
+
+
+@pytest.mark.parametrize("measure", ["jaccard", "containment"])
+@pytest.mark.parametrize("bound", [contamination.BROADCAST_GRAMS, 3])
+def test_similar_equals_all_pairs(spark, monkeypatch, measure, bound):
+    monkeypatch.setattr(contamination, "BROADCAST_GRAMS", bound)
+    rng = random.Random(7)
+    text = lambda n: " ".join(rng.choice("abc") for _ in range(n))
+    # Short texts, texts without a word, repeated n-grams, and ids that come twice: with other texts, of equal or other sizes.
+    right = [(i // 2, text(rng.choice((0, 3, 4, 5, 6, 9)))) for i in range(30)] + [(50, "p q r s t u"), (50, "v w x y z a")]
+    left = [(i // 2, text(rng.choice((0, 3, 4, 5, 7, 12, 40)))) for i in range(60)] + [(90, "p q r s t u"), (91, "P q r s t u v w x y z a"), (92, ""), (93, " - ")]
+    left = list(dict.fromkeys(left))
+    found = contamination.similar(prompt_rows(spark, left + [(94, None)]), prompt_rows(spark, right), 0.3, measure)
+    assert found.columns == ["left_id", "right_id", "shared", "score"]
+    assert sorted((r[0], r[1], r[2], round(r[3], 9)) for r in found.collect()) == plain_similar(left, right, 0.3, measure)
+
+
+def test_similar_reads_words_once(spark):
+    """No filter on the words is inferred below them, which would tokenize each text again for each use."""
+    rows = [(1, "a b c d e f (g)"), (2, "x")]
+    found = contamination.similar(prompt_rows(spark, rows), prompt_rows(spark, rows), 0.5, "containment")
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+
+
 def test_sandbox_statuses(spark):
     run = lambda code, test, **o: sandbox.run_snippet(code, test, sandbox.SandboxLimits(**o))["status"]
     f = "def f(x):\n    return x + 1"
