@@ -42,3 +42,8 @@ def test_results_do_not_depend_on_partitions(spark, data, parts):
         assert {n: sorted(map(str, catalog.QUERIES[n](spark, data).collect())) for n in names} == first
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+@pytest.mark.parametrize("name", ["decontam_anti"])
+def test_decontamination_tokenizes_once(spark, data, name):
+    assert catalog.QUERIES[name](spark, data)._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
