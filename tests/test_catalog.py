@@ -44,6 +44,6 @@ def test_results_do_not_depend_on_partitions(spark, data, parts):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
-@pytest.mark.parametrize("name", ["decontam_anti"])
+@pytest.mark.parametrize("name", ["decontam_anti", "decontam_containment"])
 def test_decontamination_tokenizes_once(spark, data, name):
     assert catalog.QUERIES[name](spark, data)._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
